@@ -7,10 +7,12 @@ and read back); the oracles compute the expected result from the same views in
 plain SQL and never see anything Spark produced.
 """
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from logloom.constants import API_FIELDS
-from logloom.functions import event_prefix, is_signal, message_pattern
+from logloom.functions import event_prefix, is_signal, message_pattern, once
 from logloom.operators.catalogs import capability_metadata, sync_capabilities
 from logloom.operators.flatten import with_api_time, with_cobrand_time
 from logloom.operators.gaps import api_gap_source, cobrand_gap_source, gap_metadata, sync_gaps
@@ -20,10 +22,9 @@ START, END = "1990-01-01 00:00:00", "2035-12-31 23:59:59.999999"
 
 _PIECES = {
     # piece: (Spark, DuckDB)
-    "{EVENTS}": ("parquet.`{dir}/events.parquet`", "events"),
-    "{ORDERS}": ("parquet.`{dir}/orders.parquet`", "orders"),
-    "{CONVERSATIONS}": ("parquet.`{dir}/conversations.parquet`", "conversations"),
-    "{DOCUMENTS}": ("parquet.`{dir}/documents.parquet`", "documents"),
+    "{EVENTS}": ("{events}", "events"),
+    "{ORDERS}": ("{orders}", "orders"),
+    "{CONVERSATIONS}": ("{conversations}", "conversations"),
     "{DAY}": ("date_format(ts,'yyyy-MM-dd')", "strftime(ts,'%Y-%m-%d')"),
     "{T24}": ("date_format(ts,'EEE, dd MMM yyyy HH:mm:ss a')", "strftime(ts,'%a, %d %b %Y %H:%M:%S %p')"),
     "{T12}": ("date_format(ts,'EEE, dd MMM yyyy hh:mm:ss a')", "strftime(ts,'%a, %d %b %Y %I:%M:%S %p')"),
@@ -43,7 +44,6 @@ _PIECES = {
     ),
     "{CHILDREN}": ("explode(sequence(-1, cast(o_orderkey % 5 as int) - 1))", "unnest(range(-1, o_orderkey % 5))"),
     "{LEVELS}": ("explode(sequence(lowest, deepest))", "unnest(range(lowest, deepest + 1))"),
-    "{LOG_DAY}": ("to_date(regexp_extract(source_file, '([0-9-]{10})[.]log', 1))", "cast(regexp_extract(source_file, '([0-9-]{10})[.]log', 1) as date)"),
 }
 
 API_LOG = """
@@ -149,19 +149,23 @@ from t
 """
 
 
-def sql(view: str, engine: str, sf_dir: str = "") -> str:
+def sql(view: str, engine: str) -> str:
     """The text of a view for ``spark`` or ``duckdb``."""
     for piece, (spark_text, duck_text) in _PIECES.items():
-        view = view.replace(piece, spark_text.replace("{dir}", sf_dir) if engine == "spark" else duck_text)
+        view = view.replace(piece, spark_text if engine == "spark" else duck_text)
     return view if engine == "spark" else view.replace("as string)", "as varchar)")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table. A file too small to be split is spread over the cores; a large one already is."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def _view(spark: SparkSession, sf_dir: str, view: str) -> DataFrame:
-    return spark.sql(sql(view, "spark", sf_dir))
+    base = re.search(r"\{(EVENTS|ORDERS|CONVERSATIONS)\}", view).group(1).lower()
+    return spark.sql(sql(view, "spark"), **{base: table(spark, sf_dir, base)})
 
 
 def api_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -197,8 +201,8 @@ def api_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The API log as text lines, some of them damaged by a fixed rule."""
     keys = {name: key for name, key, _ in API_FIELDS}
     log = api_log(spark, sf_dir)
-    good = _keyed(log, keys)
-    rule = F.col("event_id") % 50
+    rendered = once(log, {"good": _keyed(log, keys)})
+    rule, good = F.col("event_id") % 50, F.col("good")
     line = (
         F.when(rule == 7, F.substring(good, F.lit(1), F.length(good) - 1))
         .when(rule == 17, F.concat(good, F.lit(" xyz")))
@@ -206,10 +210,7 @@ def api_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(rule == 37, F.concat(good, F.lit("]")))
         .otherwise(good)
     )
-    return log.select("source_file", line.alias("line"))
-
-
-BAD_API_LINE = "event_id % 50 in (7, 17, 27, 37)"
+    return once(rendered, {"line": line}).select("source_file", "line")
 
 
 def standalone_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -230,7 +231,7 @@ def standalone_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "service_name": "service.name",
     }
     log = cobrand_log(spark, sf_dir)
-    return log.select("source_file", _keyed(log, keys).alias("line"))
+    return once(log, {"line": _keyed(log, keys)}).select("source_file", "line")
 
 
 def trace_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -327,9 +328,8 @@ def trace_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(size > 0, F.transform(F.sequence(F.lit(0), size - 1), child)).alias("children"),
     )
     line = F.to_json(F.struct(F.col("event_time").alias("timestamp"), root.alias("trace.method")))
-    return o.select(
-        F.concat(F.lit("cobrand-application-"), F.col("day"), F.lit(".log")).alias("source_file"), line.alias("line")
-    )
+    source_file = F.concat(F.lit("cobrand-application-"), F.col("day"), F.lit(".log"))
+    return once(o, {"source_file": source_file, "line": line}).select("source_file", "line")
 
 
 # A registry as people left it, derived from the prefixes of the log: reviewed or

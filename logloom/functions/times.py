@@ -16,21 +16,21 @@ def _parse(text: Column, comma: str) -> Column:
         rf"(?i)^\s*(?:{'|'.join(WEEKDAYS)}),\s+\d{{1,2}}\s+(?:{'|'.join(MONTHS)})\s+\d{{1,4}}{comma}"
         r"\s+\d{1,2}:[0-5]?\d:[0-5]?\d(?:\s*[ap]m)?\s*$"
     )
-    # [weekday, day, month, year, hour, minute, second, AM/PM]
-    part = F.split(F.btrim(text), r"[\s,:]+")
-    month = _month(part[2])
-    hour = part[4].try_cast("int")
-    mark = F.upper(F.get(part, F.lit(7)))
+    # [weekday, day, month, year, hour, minute, second, AM/PM], split once and read by a lambda.
+    parts = F.array(F.split(F.btrim(text), r"[\s,:]+"))
+    return F.when(text.rlike(shape), F.get(F.transform(parts, _stamp), F.lit(0)))
+
+
+def _stamp(part: Column) -> Column:
+    number = lambda i: F.get(part, F.lit(i)).try_cast("int")
+    hour, mark = number(4), F.upper(F.get(part, F.lit(7)))
     clock = (
         F.when((hour <= 12) & (mark == "PM"), hour % 12 + 12)
         .when((hour <= 12) & (mark == "AM"), hour % 12)
         .otherwise(hour)
     )
-    second = F.translate(part[6], "APMapm", "").try_cast("int")
-    stamp = F.try_make_timestamp_ntz(
-        part[3].try_cast("int"), month, part[1].try_cast("int"), clock, part[5].try_cast("int"), second
-    )
-    return F.when(text.rlike(shape), stamp)
+    second = F.translate(F.get(part, F.lit(6)), "APMapm", "").try_cast("int")
+    return F.try_make_timestamp_ntz(number(3), _month(F.get(part, F.lit(2))), number(1), clock, number(5), second)
 
 
 def _month(name: Column) -> Column:

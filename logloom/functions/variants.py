@@ -3,24 +3,30 @@
 from pyspark.sql import Column, functions as F
 
 
-def _path(key: str) -> str:
-    return f'$["{key}"]'
+def record(doc: Column, members: dict[str, str]) -> Column:
+    """Several members (key -> type) as one struct, read in a single pass.
 
-
-def field(doc: Column, key: str, kind: str = "string") -> Column:
-    """One member as a typed value; NULL when absent, JSON null or not convertible."""
-    return F.try_variant_get(doc, _path(key), kind)
+    A member that is absent, JSON null or not convertible is NULL on its own.
+    """
+    fields = ", ".join(f"`{key}`: {kind}" for key, kind in members.items())
+    return F.try_variant_get(doc, "$", f"struct<{fields}>")
 
 
 def subtree(doc: Column, key: str) -> Column:
     """One member as a VARIANT; SQL NULL when absent or JSON null."""
-    member = F.try_variant_get(doc, _path(key), "variant")
+    member = F.try_variant_get(doc, f'$["{key}"]', "variant")
     return F.when(~F.is_variant_null(member), member)
 
 
-def first_field(docs: tuple[Column, ...], key: str, kind: str = "string") -> Column:
-    """The member from the first document that has it."""
-    return F.coalesce(*[field(doc, key, kind) for doc in docs])
+def member(texts: Column, key: str, kind: str = "string") -> Column:
+    """A member of an object that was read as a map of texts; NULL when not convertible."""
+    value = F.try_element_at(texts, F.lit(key))
+    return value if kind == "string" else value.try_cast(kind)
+
+
+def first_member(objects: tuple[Column, ...], key: str, kind: str = "string") -> Column:
+    """The member from the first object that has it."""
+    return F.coalesce(*[member(o, key, kind) for o in objects])
 
 
 def whole_number(text: Column) -> Column:

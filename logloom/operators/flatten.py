@@ -3,11 +3,11 @@
 from pyspark.sql import DataFrame, functions as F
 
 from logloom.constants import API_FIELDS, COBRAND_EVENT_FIELDS
-from logloom.functions import field, parse_api_time, parse_cobrand_time
+from logloom.functions import once, parse_api_time, parse_cobrand_time, record
 
 
 def _with_time(df: DataFrame, parse) -> DataFrame:
-    df = df.withColumn("parsed_event_time", parse(F.col("event_time")))
+    df = once(df, {"parsed_event_time": parse(F.col("event_time"))})
     return df.withColumn("event_date", F.col("parsed_event_time").cast("date"))
 
 
@@ -23,20 +23,21 @@ def with_cobrand_time(df: DataFrame) -> DataFrame:
 
 def flatten_api(docs: DataFrame) -> DataFrame:
     """API documents -> ``event_fact_api``, time parsed once and stored."""
-    doc = F.col("doc")
-    flat = docs.select("source_file", *[field(doc, key, kind).alias(name) for name, key, kind in API_FIELDS])
+    members = docs.select("source_file", record(F.col("doc"), {key: kind for _, key, kind in API_FIELDS}).alias("m"))
+    flat = members.select("source_file", *[F.col(f"m.`{key}`").alias(name) for name, key, _ in API_FIELDS])
     names = [name for name, _, _ in API_FIELDS]
     return with_api_time(flat).select(*names, "parsed_event_time", "event_date", "source_file")
 
 
 def flatten_standalone(docs: DataFrame) -> DataFrame:
     """Standalone Cobrand documents -> ``cobrand_event_fact``; the whole record is kept."""
-    doc = F.col("doc")
-    flat = docs.select(
+    texts = {key: "string" for _, key in COBRAND_EVENT_FIELDS}
+    members = docs.select("source_file", "doc", record(F.col("doc"), texts).alias("m"))
+    flat = members.select(
         "source_file",
         F.lit("cobrand").alias("source"),
-        *[field(doc, key).alias(name) for name, key in COBRAND_EVENT_FIELDS],
-        F.to_json(doc).alias("raw_event"),
+        *[F.col(f"m.`{key}`").alias(name) for name, key in COBRAND_EVENT_FIELDS],
+        F.to_json("doc").alias("raw_event"),
     )
     names = [name for name, _ in COBRAND_EVENT_FIELDS]
     return with_cobrand_time(flat).select(

@@ -8,7 +8,7 @@ caches or driver loops, which works the same on a stream.
 from pyspark.sql import DataFrame, functions as F
 
 from logloom.constants import CHILDREN_KEY, DETAIL_FIELDS, IDENTITY_FIELDS
-from logloom.functions import field, first_field, subtree
+from logloom.functions import first_member, member, record, subtree
 from logloom.operators.flatten import with_cobrand_time
 
 
@@ -34,22 +34,31 @@ def _next_level(levels):
     )
 
 
+# Levels unfolded for every trace before its real depth is looked at.
+_USUAL_DEPTH = 16
+
+
 def unfold(traces: DataFrame) -> DataFrame:
     """One row per node: ``path``, ``parent``, ``depth``, ``node`` next to the trace's columns.
 
-    The path of the root is ``0``, that of its third child ``0.2``. A tree cannot
-    be deeper than its number of non-empty child lists, so that many steps always
-    reach the bottom; no depth is assumed.
+    The path of the root is ``0``, that of its third child ``0.2``. Any depth is
+    unfolded: a trace that is not exhausted after the usual number of levels goes
+    on for as many steps as it has non-empty child lists, which no tree can exceed.
     """
-    lists = F.regexp_count(F.to_json("trace"), F.lit(rf'"{CHILDREN_KEY}":\[[^\]]'))
     root = F.struct(
         F.lit("0").alias("path"),
         F.lit(None).cast("string").alias("parent"),
         F.lit(0).alias("depth"),
         F.col("trace").alias("node"),
     )
-    levels = F.aggregate(F.sequence(F.lit(0), lists), F.array(F.array(root)), lambda done, _: _next_level(done))
-    nodes = traces.withColumn("_node", F.explode(F.flatten(levels)))
+    usual = F.aggregate(
+        F.sequence(F.lit(1), F.lit(_USUAL_DEPTH)), F.array(F.array(root)), lambda levels, _: _next_level(levels)
+    )
+    lists = F.regexp_count(F.to_json("trace"), F.lit(rf'"{CHILDREN_KEY}":\[[^\]]'))
+    deeper = F.when(F.size(F.element_at("_levels", -1)) == 0, F.col("_levels")).otherwise(
+        F.aggregate(F.sequence(F.lit(0), lists), F.col("_levels"), lambda levels, _: _next_level(levels))
+    )
+    nodes = traces.withColumn("_levels", usual).withColumn("_node", F.explode(F.flatten(deeper)))
     return nodes.select(*traces.columns, "_node.*")
 
 
@@ -69,37 +78,47 @@ def span_nodes(traces: DataFrame) -> DataFrame:
     )
 
 
+_NODE = {
+    "timestamp": "string",
+    "event.action": "string",
+    "method.name": "string",
+    "event.duration_ms": "double",
+    "result": "map<string, string>",
+    "error": "map<string, string>",
+    "details": "map<string, string>",
+    "attributes": "map<string, string>",
+}
+
+
 def span_facts(nodes: DataFrame) -> DataFrame:
-    """``span_fact`` rows. Error texts come in three shapes; the first one present counts."""
-    nodes = nodes.withColumns(
-        {
-            "_error": subtree(F.col("node"), "error"),
-            "_details": subtree(F.col("node"), "details"),
-            "_attributes": subtree(F.col("node"), "attributes"),
-        }
-    )
-    node, error = F.col("node"), F.col("_error")
-    details, attributes = F.col("_details"), F.col("_attributes")
-    flat = nodes.select(
+    """``span_fact`` rows. Error texts come in three shapes; the first one present counts.
+
+    A node is read in one pass; its objects become maps, in which the many keys
+    that most spans lack are cheap to look for.
+    """
+    known = [c for c in nodes.columns if c != "node"]
+    read = nodes.select(*known, record(F.col("node"), _NODE).alias("n"))
+    own, error, details, attributes = (F.col(f"n.`{k}`") for k in ("timestamp", "error", "details", "attributes"))
+    flat = read.select(
         "trace_id",
         "span_id",
         "parent_id",
         "depth",
         F.lit("cobrand").alias("source"),
         "source_file",
-        F.coalesce(field(node, "timestamp"), F.col("trace_timestamp")).alias("event_time"),
-        field(node, "event.action").alias("event_action"),
-        field(node, "method.name").alias("method_name"),
-        field(node, "event.duration_ms", "double").alias("duration_ms"),
-        F.try_variant_get(node, '$.result["result.status"]', "string").alias("result_status"),
+        F.coalesce(own, F.col("trace_timestamp")).alias("event_time"),
+        F.col("n.`event.action`").alias("event_action"),
+        F.col("n.`method.name`").alias("method_name"),
+        F.col("n.`event.duration_ms`").alias("duration_ms"),
+        member(F.col("n.result"), "result.status").alias("result_status"),
         F.coalesce(
-            field(error, "message"), field(error, "error.message"), field(details, "error.message")
+            member(error, "message"), member(error, "error.message"), member(details, "error.message")
         ).alias("error_message"),
-        F.coalesce(field(error, "stack"), field(error, "error.stack"), field(details, "error.stack")).alias(
+        F.coalesce(member(error, "stack"), member(error, "error.stack"), member(details, "error.stack")).alias(
             "error_stack"
         ),
-        *[first_field((details, attributes), key, kind).alias(name) for name, key, kind in IDENTITY_FIELDS],
-        *[field(details, key, kind).alias(name) for name, key, kind in DETAIL_FIELDS],
+        *[first_member((details, attributes), key, kind).alias(name) for name, key, kind in IDENTITY_FIELDS],
+        *[member(details, key, kind).alias(name) for name, key, kind in DETAIL_FIELDS],
         "raw_id",
     )
     return with_cobrand_time(flat)

@@ -7,7 +7,7 @@ malformed; later steps select a kind instead of reading the text again.
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from logloom.constants import LINE_WHITESPACE, TRACE_KEY
-from logloom.functions import subtree
+from logloom.functions import once, subtree
 
 TRACE, EVENT, MALFORMED = "trace", "event", "malformed"
 
@@ -35,19 +35,14 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     """
     wrapped = F.concat(F.lit("["), F.col("line"), F.lit(f',"{_END_OF_LINE}"]'))
     parsed = lines.withColumn("_parsed", F.try_parse_json(wrapped))
-    complete = F.col("line").startswith("{") & F.coalesce(
-        F.try_variant_get("_parsed", "$[1]", "string") == _END_OF_LINE, F.lit(False)
-    )
-    return (
-        parsed.withColumn("doc", F.when(complete, F.try_variant_get("_parsed", "$[0]", "variant")))
-        .withColumn(
-            "kind",
-            F.when(F.col("doc").isNull(), MALFORMED)
-            .when(subtree(F.col("doc"), TRACE_KEY).isNotNull(), TRACE)
-            .otherwise(EVENT),
-        )
-        .drop("_parsed")
+    complete = F.col("line").startswith("{") & (F.try_variant_get("_parsed", "$[1]", "string") == _END_OF_LINE)
+    documents = parsed.withColumn("doc", F.when(complete, F.try_variant_get("_parsed", "$[0]", "variant")))
+    kind = (
+        F.when(F.col("doc").isNull(), MALFORMED)
+        .when(subtree(F.col("doc"), TRACE_KEY).isNotNull(), TRACE)
+        .otherwise(EVENT)
     )
+    return once(documents.drop("_parsed"), {"doc": F.col("doc"), "kind": kind})
 
 
 def number_copies(lines: DataFrame) -> DataFrame:
