@@ -10,14 +10,28 @@ from logloom.sources.logs import MALFORMED
 PARTITIONS = ("log_type", "year", "month", "source_file")
 
 
+def _year_and_month():
+    """From the file's name, whose last three dash-separated parts are its date."""
+    parts = F.split(F.regexp_replace("source_file", r"\.[^.]*$", ""), "-")
+    return F.get(parts, F.size(parts) - 3), F.get(parts, F.size(parts) - 2)
+
+
+def partition_path(root: str, log_type: str):
+    """Where the archive of a source file lies."""
+    year, month = _year_and_month()
+    return F.concat(
+        F.lit(f"{root}/log_type={log_type}/year="), year, F.lit("/month="), month, F.lit("/source_file="), F.col("source_file")
+    )
+
+
 def archive_rows(checked: DataFrame, log_type: str) -> DataFrame:
     """Well-formed lines as archive rows; year and month come from the file's name."""
-    parts = F.split(F.regexp_replace("source_file", r"\.[^.]*$", ""), "-")
+    year, month = _year_and_month()
     return checked.where(F.col("kind") != MALFORMED).select(
         F.col("line").alias("raw_json"),
         F.lit(log_type).alias("log_type"),
-        F.get(parts, F.size(parts) - 3).alias("year"),
-        F.get(parts, F.size(parts) - 2).alias("month"),
+        year.alias("year"),
+        month.alias("month"),
         "source_file",
     )
 

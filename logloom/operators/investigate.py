@@ -322,8 +322,8 @@ def search_logs(
                     "error_stack",
                 )
             )
-    if not sides:
-        raise ValueError(f"unknown source {source!r}")
+    if not sides:  # spans and standalone lines have no planner
+        return search_logs(events.where(F.lit(False)), spans, cobrand_events, catalog, source="API", limit=limit)
     return _pick(_stack([_pick(side, limit) for side in sides]), limit)
 
 

@@ -38,7 +38,8 @@ class Warehouse:
         target = hadoop.Path(path)
         return target.getFileSystem(self.spark._jsc.hadoopConfiguration()), target
 
-    def _has(self, path: str) -> bool:
+    def has(self, path: str) -> bool:
+        """Whether a file or folder exists in the shared storage."""
         fs, target = self._fs(path)
         return fs.exists(target)
 
@@ -49,7 +50,7 @@ class Warehouse:
             return []
         names = [status.getPath().getName() for status in fs.listStatus(target)]
         numbers = [int(n.removeprefix("version=")) for n in names if n.startswith("version=")]
-        return sorted(n for n in numbers if self._has(f"{self._version(table, n)}/{_DONE}"))
+        return sorted(n for n in numbers if self.has(f"{self._version(table, n)}/{_DONE}"))
 
     def _version(self, table: str, number: int) -> str:
         return f"{self.root}/{table}/version={number}"
@@ -58,7 +59,7 @@ class Warehouse:
 
     def exists(self, table: str) -> bool:
         if TABLES[table][1]:
-            return self._has(f"{self.root}/{table}/{_DONE}")
+            return self.has(f"{self.root}/{table}")
         return bool(self._versions(table))
 
     def read(self, table: str) -> DataFrame:
