@@ -69,13 +69,13 @@ def flatten_api(spark, d):
 @query
 def parse_api_time(spark, d):
     log = fx.api_log(spark, d)
-    return log.select("event_id", "event_time", fn.parse_api_time(F.col("event_time")).alias("parsed_event_time"))
+    return log.select("event_id", "event_time", fn.parse_api_time("event_time").alias("parsed_event_time"))
 
 
 @query
 def parse_cobrand_time(spark, d):
     log = fx.cobrand_log(spark, d)
-    return log.select("conv_id", "turn", fn.parse_cobrand_time(F.col("event_time")).alias("parsed_event_time"))
+    return log.select("conv_id", "turn", fn.parse_cobrand_time("event_time").alias("parsed_event_time"))
 
 
 @query

@@ -13,7 +13,7 @@ from logloom.functions.predicates import (
 )
 from logloom.functions.text import first_line, is_signal, message_pattern, normalize_message
 from logloom.functions.times import parse_api_time, parse_cobrand_time
-from logloom.functions.variants import first_member, member, record, subtree, whole_number
+from logloom.functions.variants import first_member, record, subtree, whole_number
 
 __all__ = [
     "contains_text",
@@ -28,7 +28,6 @@ __all__ = [
     "is_signal",
     "is_span_error",
     "is_unreviewed",
-    "member",
     "message_pattern",
     "normalize_message",
     "once",

@@ -11,38 +11,27 @@ from pyspark.sql import Column, functions as F
 from logloom.constants import MONTHS, WEEKDAYS
 
 
-def _parse(text: Column, comma: str) -> Column:
+def _parse(text: str, comma: str) -> Column:
     shape = (
         rf"(?i)^\s*(?:{'|'.join(WEEKDAYS)}),\s+\d{{1,2}}\s+(?:{'|'.join(MONTHS)})\s+\d{{1,4}}{comma}"
         r"\s+\d{1,2}:[0-5]?\d:[0-5]?\d(?:\s*[ap]m)?\s*$"
     )
-    # [weekday, day, month, year, hour, minute, second, AM/PM], split once and read by a lambda.
-    parts = F.array(F.split(F.btrim(text), r"[\s,:]+"))
-    return F.when(text.rlike(shape), F.get(F.transform(parts, _stamp), F.lit(0)))
-
-
-def _stamp(part: Column) -> Column:
-    number = lambda i: F.get(part, F.lit(i)).try_cast("int")
-    hour, mark = number(4), F.upper(F.get(part, F.lit(7)))
-    clock = (
-        F.when((hour <= 12) & (mark == "PM"), hour % 12 + 12)
-        .when((hour <= 12) & (mark == "AM"), hour % 12)
-        .otherwise(hour)
-    )
-    second = F.translate(F.get(part, F.lit(6)), "APMapm", "").try_cast("int")
-    return F.try_make_timestamp_ntz(number(3), _month(F.get(part, F.lit(2))), number(1), clock, number(5), second)
-
-
-def _month(name: Column) -> Column:
-    calendar = F.lit("".join(MONTHS).lower())
-    return ((F.instr(calendar, F.lower(name)) + 2) / 3).cast("int")
-
-
-def parse_api_time(text: Column) -> Column:
-    """Time text of an API line -> TIMESTAMP_NTZ; NULL when it is not one."""
+    # p is [weekday, day, month, year, hour, minute, second, AM/PM], split once and read by a lambda.
+    number = "try_cast(get(p, {}) as int)".format
+    hour, mark = number(4), "upper(get(p, 7))"
+    clock = f"case when {hour} > 12 then {hour} when {mark} = 'PM' then {hour} % 12 + 12 when {mark} = 'AM' then {hour} % 12 else {hour} end"
+    month = f"cast((instr('{''.join(MONTHS).lower()}', lower(get(p, 2))) + 2) / 3 as int)"
+    second = "try_cast(translate(get(p, 6), 'APMapm', '') as int)"
+    stamp = f"try_make_timestamp_ntz({number(3)}, {month}, {number(1)}, {clock}, {number(5)}, {second})"
+    parts = rf"array(split(btrim({text}), r'[\s,:]+'))"
+    return F.expr(f"case when {text} rlike r'{shape}' then get(transform({parts}, p -> {stamp}), 0) end")
+
+
+def parse_api_time(text: str) -> Column:
+    """Time text of an API line (a column's name) -> TIMESTAMP_NTZ; NULL when it is not one."""
     return _parse(text, "")
 
 
-def parse_cobrand_time(text: Column) -> Column:
+def parse_cobrand_time(text: str) -> Column:
     """Time text of a Cobrand line (comma before the clock) -> TIMESTAMP_NTZ."""
-    return _parse(text, r",")
+    return _parse(text, ",")

@@ -18,15 +18,13 @@ def subtree(doc: Column, key: str) -> Column:
     return F.when(~F.is_variant_null(member), member)
 
 
-def member(texts: Column, key: str, kind: str = "string") -> Column:
-    """A member of an object that was read as a map of texts; NULL when not convertible."""
-    value = F.try_element_at(texts, F.lit(key))
-    return value if kind == "string" else value.try_cast(kind)
+def first_member(key: str, *objects: str, kind: str = "string") -> Column:
+    """A member from the first object that has it; NULL when not convertible.
 
-
-def first_member(objects: tuple[Column, ...], key: str, kind: str = "string") -> Column:
-    """The member from the first object that has it."""
-    return F.coalesce(*[member(o, key, kind) for o in objects])
+    ``objects`` are columns that were read as maps of texts.
+    """
+    found = [f"try_element_at({o}, '{key}')" for o in objects]
+    return F.expr(f"coalesce({', '.join(f if kind == 'string' else f'try_cast({f} as {kind})' for f in found)})")
 
 
 def whole_number(text: Column) -> Column:

@@ -7,7 +7,7 @@ from logloom.functions import once, parse_api_time, parse_cobrand_time, record
 
 
 def _with_time(df: DataFrame, parse) -> DataFrame:
-    df = once(df, {"parsed_event_time": parse(F.col("event_time"))})
+    df = once(df, {"parsed_event_time": parse("event_time")})
     return df.withColumn("event_date", F.col("parsed_event_time").cast("date"))
 
 

@@ -8,7 +8,7 @@ caches or driver loops, which works the same on a stream.
 from pyspark.sql import DataFrame, functions as F
 
 from logloom.constants import CHILDREN_KEY, DETAIL_FIELDS, IDENTITY_FIELDS
-from logloom.functions import first_member, member, record, subtree
+from logloom.functions import first_member, record, subtree
 from logloom.operators.flatten import with_cobrand_time
 
 
@@ -98,7 +98,7 @@ def span_facts(nodes: DataFrame) -> DataFrame:
     """
     known = [c for c in nodes.columns if c != "node"]
     read = nodes.select(*known, record(F.col("node"), _NODE).alias("n"))
-    own, error, details, attributes = (F.col(f"n.`{k}`") for k in ("timestamp", "error", "details", "attributes"))
+    error, details, attributes = "n.error", "n.details", "n.attributes"
     flat = read.select(
         "trace_id",
         "span_id",
@@ -106,19 +106,19 @@ def span_facts(nodes: DataFrame) -> DataFrame:
         "depth",
         F.lit("cobrand").alias("source"),
         "source_file",
-        F.coalesce(own, F.col("trace_timestamp")).alias("event_time"),
+        F.coalesce("n.timestamp", "trace_timestamp").alias("event_time"),
         F.col("n.`event.action`").alias("event_action"),
         F.col("n.`method.name`").alias("method_name"),
         F.col("n.`event.duration_ms`").alias("duration_ms"),
-        member(F.col("n.result"), "result.status").alias("result_status"),
+        first_member("result.status", "n.result").alias("result_status"),
         F.coalesce(
-            member(error, "message"), member(error, "error.message"), member(details, "error.message")
+            first_member("message", error), first_member("error.message", error), first_member("error.message", details)
         ).alias("error_message"),
-        F.coalesce(member(error, "stack"), member(error, "error.stack"), member(details, "error.stack")).alias(
-            "error_stack"
-        ),
-        *[first_member((details, attributes), key, kind).alias(name) for name, key, kind in IDENTITY_FIELDS],
-        *[member(details, key, kind).alias(name) for name, key, kind in DETAIL_FIELDS],
+        F.coalesce(
+            first_member("stack", error), first_member("error.stack", error), first_member("error.stack", details)
+        ).alias("error_stack"),
+        *[first_member(key, details, attributes, kind=kind).alias(name) for name, key, kind in IDENTITY_FIELDS],
+        *[first_member(key, details, kind=kind).alias(name) for name, key, kind in DETAIL_FIELDS],
         "raw_id",
     )
     return with_cobrand_time(flat)

@@ -29,6 +29,8 @@ def local_session(cores: str = "8", memory: str = "8g", **extra: str) -> SparkSe
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
+        # Recording the Python call site of every column doubles the time to build a plan.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.shuffle.partitions", cores if cores.isdigit() else "8")
     )
     for key, value in {**SETTINGS, **extra}.items():

@@ -30,7 +30,7 @@ AT = datetime.datetime
 )
 def test_times(spark, text, api, cobrand):
     df = spark.createDataFrame([(text,)], "t string")
-    row = df.select(fn.parse_api_time(F.col("t")), fn.parse_cobrand_time(F.col("t"))).first()
+    row = df.select(fn.parse_api_time("t"), fn.parse_cobrand_time("t")).first()
     assert tuple(row) == (api, cobrand)
 
 
