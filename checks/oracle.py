@@ -254,6 +254,7 @@ _BODIES = {
     # catalogs
     "event_catalog": f"select distinct event_action, {_PREFIX} as event_prefix from api_log where event_action is not null",
     "capability_metadata": "select * from cap_meta",
+    "capability_incremental": "select * from cap_meta",
     "capability_sync": "select * from cap",
     "upsert_catalog": """select coalesce(c.c_custkey, o.k) as key, c.c_name as owner,
         case when o.k is null then c.status else coalesce(c.status, 'Pending') end as status,
@@ -275,6 +276,7 @@ _BODIES = {
     "top_event_prefixes": "select event_prefix, event_count from cap where event_count is not null order by 2 desc, 1 limit 10",
     "gap_source": "select * from gap_src",
     "gap_metadata": "select * from gap_meta",
+    "gap_incremental": "select * from gap_meta",
     "gap_cobrand": "select * from gap_meta where source_system = 'COBRAND'",
     "gap_sync": "select * from gap",
     "gap_backlog": """select source_system, raw_pattern, signature, occurrence_count, last_seen, example_message from gap

@@ -245,6 +245,12 @@ def capability_metadata(spark, d):
     return catalogs.capability_metadata(fx.api_facts(spark, d))
 
 
+@query
+def capability_incremental(spark, d):
+    """The same from the shares of the single files."""
+    return catalogs.capability_totals(catalogs.fold_events(fx.api_facts(spark, d), "source_file"))
+
+
 @query
 def capability_sync(spark, d):
     return fx.capability_catalog(spark, d)
@@ -302,6 +308,15 @@ def gap_metadata(spark, d):
     return gaps.gap_metadata(fx.gap_source(spark, d))
 
 
+@query
+def gap_incremental(spark, d):
+    """The same from the shares of the single files."""
+    source = gaps.api_gap_source(fx.api_facts(spark, d), "source_file").unionByName(
+        gaps.cobrand_gap_source(fx.cobrand_facts(spark, d), "source_file")
+    )
+    return gaps.gap_totals(gaps.fold_gaps(source))
+
+
 @query
 def gap_cobrand(spark, d):
     return gaps.gap_metadata(gaps.cobrand_gap_source(fx.cobrand_facts(spark, d)))

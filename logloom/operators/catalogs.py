@@ -19,21 +19,26 @@ def latest(value: str, time: str):
     return F.max_by(F.col(value), F.when(usable, F.struct(F.col(time), F.col(value)))).alias(value)
 
 
-def capability_metadata(events: DataFrame) -> DataFrame:
-    """Per event prefix: first and last time, count, latest action and service.
+def fold_events(events: DataFrame, *by: str) -> DataFrame:
+    """First and last time and count per (action, service), and per ``by``.
 
-    The first aggregate has a few fixed-width states per (action, service), so it
-    hashes and folds the facts map-side; picking the latest texts, which needs a
-    sort, then only sees that small result.
+    All states are fixed-width, so this hashes and folds the facts map-side. Folded
+    per source file the result is stored, and a refresh folds new files only.
     """
     t = F.col("parsed_event_time")
-    folded = (
-        events.where(F.col("event_action").isNotNull())
-        .groupBy("event_action", "service_name")
-        .agg(F.min(t).alias("first_seen"), F.max(t).alias("last_seen"), F.count(F.lit(1)).alias("event_count"))
+    return events.groupBy(*by, "event_action", "service_name").agg(
+        F.min(t).alias("first_seen"), F.max(t).alias("last_seen"), F.count("*").alias("event_count")
     )
+
+
+def capability_totals(folded: DataFrame) -> DataFrame:
+    """Per event prefix: first and last time, count, latest action and service.
+
+    Picking the latest texts needs a sort, but only of the folded rows.
+    """
+    known = folded.where(F.col("event_action").isNotNull())
     return (
-        folded.groupBy(event_prefix(F.col("event_action")).alias("event_prefix"))
+        known.groupBy(event_prefix(F.col("event_action")).alias("event_prefix"))
         .agg(
             latest("event_action", "last_seen"),
             latest("service_name", "last_seen"),
@@ -52,6 +57,10 @@ def capability_metadata(events: DataFrame) -> DataFrame:
     )
 
 
+def capability_metadata(events: DataFrame) -> DataFrame:
+    return capability_totals(fold_events(events.where(F.col("event_action").isNotNull())))
+
+
 def sync_capabilities(catalog: DataFrame, metadata: DataFrame) -> DataFrame:
     """Bring the registry up to date; what people entered stays."""
     return upsert(

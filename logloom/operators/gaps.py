@@ -8,15 +8,20 @@ from logloom.operators.catalogs import latest
 from logloom.operators.upsert import upsert
 
 
-def api_gap_source(events: DataFrame) -> DataFrame:
-    """API lines with a message but no event action."""
+def api_gap_source(events: DataFrame, *more: str) -> DataFrame:
+    """API lines with a message but no event action; ``more`` names columns to keep besides."""
     return _uninstrumented(events).select(
-        F.lit("API").alias("source_system"), "message", "service_name", F.col("level").alias("log_level"), "parsed_event_time"
+        F.lit("API").alias("source_system"),
+        "message",
+        "service_name",
+        F.col("level").alias("log_level"),
+        "parsed_event_time",
+        *more,
     )
 
 
-def cobrand_gap_source(events: DataFrame) -> DataFrame:
-    """Standalone Cobrand lines with a message but no event action."""
+def cobrand_gap_source(events: DataFrame, *more: str) -> DataFrame:
+    """Standalone Cobrand lines with a message but no event action; ``more`` as above."""
     service = F.get_json_object("raw_event", "$['service.name']")
     return _uninstrumented(events).select(
         F.lit("COBRAND").alias("source_system"),
@@ -24,6 +29,7 @@ def cobrand_gap_source(events: DataFrame) -> DataFrame:
         F.coalesce(service, F.lit(DEFAULT_COBRAND_SERVICE)).alias("service_name"),
         F.col("level").alias("log_level"),
         "parsed_event_time",
+        *more,
     )
 
 
@@ -31,20 +37,58 @@ def _uninstrumented(events: DataFrame) -> DataFrame:
     return events.where(F.col("event_action").isNull() & F.col("message").isNotNull())
 
 
+def _patterns(source: DataFrame) -> DataFrame:
+    """Noise (nearly all of a typical log) is dropped before anything is normalized."""
+    return source.where(is_signal(F.col("message"))).withColumn("raw_pattern", message_pattern(F.col("message")))
+
+
 def gap_metadata(source: DataFrame) -> DataFrame:
-    """Per source and pattern: first and last time, count, latest message, service and level.
+    """Per source and pattern: first and last time, count, latest message, service and level."""
+    t = F.col("parsed_event_time")
+    return _patterns(source).groupBy("source_system", "raw_pattern").agg(
+        F.min(t).alias("first_seen"),
+        F.max(t).alias("last_seen"),
+        F.count("*").alias("occurrence_count"),
+        latest("message", "parsed_event_time").alias("example_message"),
+        latest("service_name", "parsed_event_time"),
+        latest("log_level", "parsed_event_time"),
+    )
+
+
+def fold_gaps(source: DataFrame) -> DataFrame:
+    """The same per source file, in a form that can be merged; ``source`` keeps ``source_file``.
 
-    Noise (nearly all of a typical log) is dropped before anything is normalized.
+    A latest value travels with its own time, as the row that carries the latest
+    service need not be the row that carries the latest message. Stored per file,
+    so that a refresh normalizes the messages of new files only.
     """
     t = F.col("parsed_event_time")
-    patterns = source.where(is_signal(F.col("message"))).withColumn("raw_pattern", message_pattern(F.col("message")))
-    return patterns.groupBy("source_system", "raw_pattern").agg(
+    seen = {c: F.max(F.when(F.col(c).isNotNull(), t)) for c in ("service_name", "log_level")}
+    return _patterns(source).groupBy("source_file", "source_system", "raw_pattern").agg(
         F.min(t).alias("first_seen"),
         F.max(t).alias("last_seen"),
-        F.count(F.lit(1)).alias("occurrence_count"),
+        F.count("*").alias("occurrence_count"),
         latest("message", "parsed_event_time").alias("example_message"),
         latest("service_name", "parsed_event_time"),
         latest("log_level", "parsed_event_time"),
+        seen["service_name"].alias("service_seen"),
+        seen["log_level"].alias("level_seen"),
+    )
+
+
+def gap_totals(folded: DataFrame) -> DataFrame:
+    """Merge the files' shares into what ``gap_metadata`` gives for all of them."""
+    return (
+        folded.where(F.col("raw_pattern").isNotNull())
+        .groupBy("source_system", "raw_pattern")
+        .agg(
+            F.min("first_seen").alias("first_seen"),
+            F.max("last_seen").alias("last_seen"),
+            F.sum("occurrence_count").alias("occurrence_count"),
+            latest("example_message", "last_seen"),
+            latest("service_name", "service_seen"),
+            latest("log_level", "level_seen"),
+        )
     )
 
 

@@ -90,20 +90,60 @@ def build_cobrand_facts(warehouse: Warehouse) -> None:
         warehouse.append("span_fact", traces.span_facts(nodes))
 
 
-def sync_api_catalogs(warehouse: Warehouse) -> None:
+def _unfolded_files(fact: DataFrame, shares: DataFrame, count: str) -> list[str]:
+    """Files whose stored share does not account for all of their rows in the fact."""
+    folded = shares.groupBy("source_file").agg(F.sum(count).alias("rows"))
+    return _names(archive.count_per_file(fact).join(folded, ["source_file", "rows"], "left_anti"))
+
+
+def fold_events(warehouse: Warehouse) -> None:
+    """Add the shares of new files to ``event_shares``."""
     events = warehouse.read("event_fact_api")
-    warehouse.replace("event_catalog_api", catalogs.event_catalog(events))
-    registry = catalogs.sync_capabilities(warehouse.read("capability_catalog"), catalogs.capability_metadata(events))
+    names = _unfolded_files(events, warehouse.read("event_shares"), "event_count")
+    if names:
+        warehouse.append("event_shares", catalogs.fold_events(_only(events, names), "source_file"))
+
+
+def fold_gaps(warehouse: Warehouse, log_type: str) -> None:
+    """Add the shares of new files to ``gap_shares``."""
+    table, source = {
+        "api": ("event_fact_api", gaps.api_gap_source),
+        "cobrand": ("cobrand_event_fact", gaps.cobrand_gap_source),
+    }[log_type]
+    fact = warehouse.read(table)
+    shares = warehouse.read("gap_shares").where(F.col("source_system") == log_type.upper())
+    names = _unfolded_files(fact, shares, "occurrence_count")
+    if not names:
+        return
+    fresh = _only(fact, names)
+    folded = gaps.fold_gaps(source(fresh, "source_file"))
+    # What the patterns do not account for, as one row per file.
+    found = folded.groupBy("source_file").agg((-F.sum("occurrence_count")).alias("rows"))
+    rest = (
+        archive.count_per_file(fresh)
+        .unionByName(found)
+        .groupBy("source_file")
+        .agg(F.sum("rows").alias("occurrence_count"))
+        .withColumn("source_system", F.lit(log_type.upper()))
+    )
+    warehouse.append("gap_shares", folded.unionByName(rest, allowMissingColumns=True))
+
+
+def sync_api_catalogs(warehouse: Warehouse) -> None:
+    """Event catalog and registry from the stored shares; the fact's history is not read."""
+    fold_events(warehouse)
+    shares = warehouse.read("event_shares")
+    warehouse.replace("event_catalog_api", catalogs.event_catalog(shares))
+    registry = catalogs.sync_capabilities(warehouse.read("capability_catalog"), catalogs.capability_totals(shares))
     warehouse.replace("capability_catalog", registry)
 
 
-def sync_gap_catalog(warehouse: Warehouse) -> None:
-    """Both sources in one aggregate and one upsert."""
-    source = gaps.api_gap_source(warehouse.read("event_fact_api")).unionByName(
-        gaps.cobrand_gap_source(warehouse.read("cobrand_event_fact"))
-    )
+def sync_gap_catalog(warehouse: Warehouse, log_type: str) -> None:
+    """Gap catalog from the stored shares of both sources."""
+    fold_gaps(warehouse, log_type)
     current = warehouse.read("instrumentation_gap_catalog")
-    warehouse.replace("instrumentation_gap_catalog", gaps.sync_gaps(current, gaps.gap_metadata(source)))
+    metadata = gaps.gap_totals(warehouse.read("gap_shares"))
+    warehouse.replace("instrumentation_gap_catalog", gaps.sync_gaps(current, metadata))
 
 
 def sync_span_dimension(warehouse: Warehouse, now=None) -> None:
@@ -116,7 +156,7 @@ def refresh_api(warehouse: Warehouse, pattern: str) -> list[str]:
     paths = load_raw(warehouse, "api", pattern)
     build_api_facts(warehouse)
     sync_api_catalogs(warehouse)
-    sync_gap_catalog(warehouse)
+    sync_gap_catalog(warehouse, "api")
     return paths
 
 
@@ -124,7 +164,7 @@ def refresh_cobrand(warehouse: Warehouse, pattern: str, now=None) -> list[str]:
     """Load new Cobrand logs and bring facts, catalog and dimension up to date."""
     paths = load_raw(warehouse, "cobrand", pattern)
     build_cobrand_facts(warehouse)
-    sync_gap_catalog(warehouse)
+    sync_gap_catalog(warehouse, "cobrand")
     sync_span_dimension(warehouse, now)
     return paths
 

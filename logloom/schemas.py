@@ -51,6 +51,19 @@ COBRAND_EVENT_FACT = _schema(
     + ", raw_event string, parsed_event_time timestamp_ntz, event_date date, source_file string"
 )
 
+# What each source file contributes to the catalogs. The counts of a file add up
+# to its rows in the fact; gap rows without a pattern stand for lines that are no gap.
+EVENT_SHARES = _schema(
+    """event_action string, service_name string, first_seen timestamp_ntz, last_seen timestamp_ntz,
+    event_count bigint, source_file string"""
+)
+
+GAP_SHARES = _schema(
+    """raw_pattern string, first_seen timestamp_ntz, last_seen timestamp_ntz, occurrence_count bigint,
+    example_message string, service_name string, service_seen timestamp_ntz, log_level string,
+    level_seen timestamp_ntz, source_system string, source_file string"""
+)
+
 EVENT_CATALOG_API = _schema("event_action string, event_prefix string")
 
 CAPABILITY_CATALOG = _schema(
@@ -87,6 +100,8 @@ TABLES = {
     "span_fact": (SPAN_FACT, ("event_date", "source_file")),
     "span_context": (SPAN_CONTEXT, ("source_file",)),
     "cobrand_event_fact": (COBRAND_EVENT_FACT, ("event_date", "source_file")),
+    "event_shares": (EVENT_SHARES, ("source_file",)),
+    "gap_shares": (GAP_SHARES, ("source_system", "source_file")),
     "event_catalog_api": (EVENT_CATALOG_API, ()),
     "capability_catalog": (CAPABILITY_CATALOG, ()),
     "instrumentation_gap_catalog": (INSTRUMENTATION_GAP_CATALOG, ()),

@@ -8,6 +8,8 @@ SETTINGS = {
     "spark.sql.variant.allowDuplicateKeys": "true",
     # The JVM never compiles larger methods; Spark then splits the projection instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Up to this many rows per key, "the newest n of each" is cut off before the shuffle.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "10000",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
