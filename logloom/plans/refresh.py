@@ -44,7 +44,8 @@ def load_raw(warehouse: Warehouse, log_type: str, pattern: str) -> list[str]:
     paths = _new_paths(warehouse, pattern, warehouse.read(table))
     if paths:
         lines = logs.scan_lines(warehouse.spark, paths)
-        warehouse.append(table, logs.raw_table(lines, identified=log_type == "cobrand"))
+        identified = log_type == "cobrand"
+        warehouse.append(table, logs.raw_table(lines, identified), shuffled=identified)
     return paths
 
 
@@ -101,7 +102,7 @@ def fold_events(warehouse: Warehouse) -> None:
     events = warehouse.read("event_fact_api")
     names = _unfolded_files(events, warehouse.read("event_shares"), "event_count")
     if names:
-        warehouse.append("event_shares", catalogs.fold_events(_only(events, names), "source_file"))
+        warehouse.append("event_shares", catalogs.fold_events(_only(events, names), "source_file"), shuffled=True)
 
 
 def fold_gaps(warehouse: Warehouse, log_type: str) -> None:
@@ -126,7 +127,7 @@ def fold_gaps(warehouse: Warehouse, log_type: str) -> None:
         .agg(F.sum("rows").alias("occurrence_count"))
         .withColumn("source_system", F.lit(log_type.upper()))
     )
-    warehouse.append("gap_shares", folded.unionByName(rest, allowMissingColumns=True))
+    warehouse.append("gap_shares", folded.unionByName(rest, allowMissingColumns=True), shuffled=True)
 
 
 def sync_api_catalogs(warehouse: Warehouse) -> None:

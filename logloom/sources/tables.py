@@ -85,9 +85,17 @@ class Warehouse:
 
     # --- writing -------------------------------------------------------------------------
 
-    def append(self, table: str, rows: DataFrame) -> None:
-        """Add rows of whole source files; rows of the same files and days are replaced."""
+    def append(self, table: str, rows: DataFrame, shuffled: bool = False) -> None:
+        """Add rows of whole source files; rows of the same files and days are replaced.
+
+        Tasks that read files hold few partitions each and write them as they are.
+        ``shuffled`` rows are mixed: they are gathered by partition first, else every
+        task would leave a small file in every partition. The rebalancing splits a
+        partition that is large and merges small ones.
+        """
         schema, partitions = TABLES[table]
+        if shuffled:
+            rows = rows.hint("rebalance", *[F.col(c) for c in partitions])
         (
             rows.select(*schema.names)
             .write.mode("overwrite")

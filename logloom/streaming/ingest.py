@@ -1,6 +1,6 @@
 """Incremental ingest as a stream: the checkpoint remembers which files were read."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -8,7 +8,6 @@ from logloom.constants import LINE_WHITESPACE
 from logloom.plans import refresh
 from logloom.sources import logs
 from logloom.sources.tables import Warehouse
-from pyspark.sql import functions as F
 
 
 def ingest(warehouse: Warehouse, log_type: str, folder: str, checkpoint: str, files_per_batch: int = 1000) -> StreamingQuery:
@@ -30,7 +29,7 @@ def ingest(warehouse: Warehouse, log_type: str, folder: str, checkpoint: str, fi
     )
 
     def load(batch: DataFrame, _: int) -> None:
-        warehouse.append(refresh.RAW_TABLES[log_type], logs.raw_table(batch, identified))
+        warehouse.append(refresh.RAW_TABLES[log_type], logs.raw_table(batch, identified), shuffled=identified)
         if identified:
             refresh.build_cobrand_facts(warehouse)
         else:
