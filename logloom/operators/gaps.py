@@ -76,6 +76,15 @@ def fold_gaps(source: DataFrame) -> DataFrame:
     )
 
 
+def no_gaps(events: DataFrame, source_system: str) -> DataFrame:
+    """Per source file, how many rows ``fold_gaps`` leaves out (structured, silent or noise)."""
+    message = F.col("message")
+    gap = F.col("event_action").isNull() & message.isNotNull() & is_signal(message)
+    return events.groupBy("source_file").agg(F.count_if(~gap).alias("occurrence_count")).withColumn(
+        "source_system", F.lit(source_system)
+    )
+
+
 def gap_totals(folded: DataFrame) -> DataFrame:
     """Merge the files' shares into what ``gap_metadata`` gives for all of them."""
     return (

@@ -118,15 +118,7 @@ def fold_gaps(warehouse: Warehouse, log_type: str) -> None:
         return
     fresh = _only(fact, names)
     folded = gaps.fold_gaps(source(fresh, "source_file"))
-    # What the patterns do not account for, as one row per file.
-    found = folded.groupBy("source_file").agg((-F.sum("occurrence_count")).alias("rows"))
-    rest = (
-        archive.count_per_file(fresh)
-        .unionByName(found)
-        .groupBy("source_file")
-        .agg(F.sum("rows").alias("occurrence_count"))
-        .withColumn("source_system", F.lit(log_type.upper()))
-    )
+    rest = gaps.no_gaps(fresh, log_type.upper())
     warehouse.append("gap_shares", folded.unionByName(rest, allowMissingColumns=True), shuffled=True)
 
 
