@@ -315,8 +315,8 @@ _BODIES = {
     "top_platforms": _top("platform_name", "count"),
     "top_errors": _top("error_message", "count", "level = 'error'"),
     "top_failed_events": _top("event_action", "count", "level = 'error'"),
-    "top_users_with_errors": _top("user_id", "error_count", "level = 'error'"),
-    "top_planners_with_errors": _top("planner_id", "error_count", "level = 'error'"),
+    "top_users_errors": _top("user_id", "error_count", "level = 'error'"),
+    "top_planners_errors": _top("planner_id", "error_count", "level = 'error'"),
     "service_health": _health("service_name", ", round(avg(duration_ms), 1) as avg_duration_ms"),
     "platform_health": _health("platform_name"),
     "cobrand_health": f"""select count(*) as requests, count(error_message) as errors,

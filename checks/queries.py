@@ -424,21 +424,20 @@ def failures_window(spark, d):
     return counts.select(F.col("day"), "source", "count")
 
 
-def _top(name, column, fact=fx.api_facts):
+def _top(name, report):
     def run(spark, d):
-        return getattr(metrics, name)(fact(spark, d), START, END)
+        return report(fx.api_facts(spark, d), START, END)
 
     run.__name__ = name
-    run.__doc__ = f"Most frequent {column}."
-    return query(run)
+    query(run)
 
 
-_top("top_services", "services")
-_top("top_platforms", "platforms")
-_top("top_errors", "error messages")
-_top("top_failed_events", "failed events")
-_top("top_users_with_errors", "users with errors")
-_top("top_planners_with_errors", "planners with errors")
+_top("top_services", metrics.top_services)
+_top("top_platforms", metrics.top_platforms)
+_top("top_errors", metrics.top_errors)
+_top("top_failed_events", metrics.top_failed_events)
+_top("top_users_errors", metrics.top_users_with_errors)
+_top("top_planners_errors", metrics.top_planners_with_errors)
 
 
 @query
