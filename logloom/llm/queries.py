@@ -3,10 +3,24 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logloom.llm import nbsvm, simhash
+from logloom.llm import langmix, mixing, nbsvm, pieces, secrets, simhash
 from logloom.llm.common import held_out, table
 
 
+def tokenizer(name: str) -> str:
+    """Place of a public tokenizer's file; it is installed with a package of its own, on executors as well."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = langmix.fit(documents.filter(~held_out("doc_id")))
+    found = langmix.predict(documents, model)
+    return found.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.groups(table(spark, sf_dir, "documents"), distance=4, shingle=4)
     return found.select(
@@ -27,9 +41,37 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.mix(table(spark, sf_dir, "documents"), weights=(5, 2, 1), epochs=3, seed=1)
+    return found.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"] < secrets.KINDS.index("random"))
+    count = [
+        F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}")
+        for k, name in enumerate(secrets.KINDS[:3])
+    ]
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *count,
+        F.sha2(secrets.listed(base).cast("binary"), 256).alias("base_sha256"),
+        secrets.listed(F.col("spans")).alias("spans"),
+    )
+
+
 QUERIES = {
+    "op1_language": op1_language,
     "op2_simhash": op2_simhash,
     "op3_quality": op3_quality,
+    "op4_sentencepiece": op4_sentencepiece,
+    "op5_mixing": op5_mixing,
+    "op8_secrets": op8_secrets,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
