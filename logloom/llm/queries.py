@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logloom.llm import langmix, mixing, nbsvm, pieces, secrets, simhash
+from logloom.llm import langmix, mixing, nbsvm, ngramratio, pieces, secretscan, simhash, tokencount, urlrules, vectors
 from logloom.llm.common import held_out, table
 
 
@@ -50,28 +50,70 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+def op6_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = tokencount.count_tokens(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+    return found.withColumn("over_limit", F.col("n_tokens") > 1024)
+
+
+def op7_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trusted are the documents that ``labels`` marks as good, raw is every document."""
+    documents = table(spark, sf_dir, "documents")
+    weights = ngramratio.fit(documents, table(spark, sf_dir, "labels").filter("quality = 1"))
+    return ngramratio.judge(documents, weights).drop("ratio")
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets.find(table(spark, sf_dir, "documents"))
-    base = F.filter("spans", lambda s: s["kind"] < secrets.KINDS.index("random"))
+    found = secretscan.find(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"] < secretscan.KINDS.index("random"))
     count = [
         F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}")
-        for k, name in enumerate(secrets.KINDS[:3])
+        for k, name in enumerate(secretscan.KINDS[:3])
     ]
     return found.select(
         F.col("id").alias("doc_id"),
         *count,
-        F.sha2(secrets.listed(base).cast("binary"), 256).alias("base_sha256"),
-        secrets.listed(F.col("spans")).alias("spans"),
+        F.sha2(secretscan.listed(base).cast("binary"), 256).alias("base_sha256"),
+        secretscan.listed(F.col("spans")).alias("spans"),
     )
 
 
+def op9_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = vectors.duplicates(table(spark, sf_dir, "embeddings"), cosine=0.98)
+    return found.select(
+        F.col("id").alias("vec_id"), "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept")
+    )
+
+
+#: (verdict, host, path) of the given rules.
+URL_RULES = [
+    ("allow", "org", "/"),
+    ("block", "example.org", "/es/"),
+    ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"),
+    ("block", "com", "/de/"),
+]
+
+
+def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bad URLs to learn from are those of pages whose label, by the same id, is of low quality or toxic."""
+    pages, labels = table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")
+    bad = (F.col("quality") == 0) | (F.col("toxic") == 1)
+    labelled = pages.join(labels, F.col("page_id") == F.col("doc_id")).select("url", bad.alias("bad"))
+    found = urlrules.judge(pages, urlrules.mine(labelled), URL_RULES)
+    return found.withColumnRenamed("id", "page_id")
+
+
 QUERIES = {
     "op1_language": op1_language,
     "op2_simhash": op2_simhash,
     "op3_quality": op3_quality,
     "op4_sentencepiece": op4_sentencepiece,
     "op5_mixing": op5_mixing,
+    "op6_tokens": op6_tokens,
+    "op7_rules": op7_rules,
     "op8_secrets": op8_secrets,
+    "op9_vectors": op9_vectors,
+    "op10_urls": op10_urls,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
