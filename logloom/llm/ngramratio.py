@@ -11,9 +11,10 @@ from pyspark.sql import types as T
 
 from logloom.llm.common import blocks, prepare, word_chunks
 
-BUCKETS = 1 << 16
+BITS = 13
+BUCKETS = 1 << BITS
 WINDOW = 5
-_GRAM = 4
+_GRAM = 3
 _SIZE = 1 << 20
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
@@ -106,16 +107,16 @@ def _hashed(data: np.ndarray) -> np.ndarray:
     code = data[: 1 - _GRAM].astype(np.uint32)
     for k in range(1, _GRAM):
         code |= data[k : len(data) - _GRAM + 1 + k].astype(np.uint32) << np.uint32(8 * k)
-    return (code * np.uint32(2654435761)) >> np.uint32(16)
+    return (code * np.uint32(2654435761)) >> np.uint32(32 - BITS)
 
 
-def fit(
-    df: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", text: str = "text", smoothing: float = 1.0
-) -> np.ndarray:
+def fit(df: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", text: str = "text", prior: float = 2.0) -> np.ndarray:
     """log p(bucket | trusted) - log p(bucket | raw), over all n-grams of all rows.
 
     Raw is every row of ``df``, trusted those whose id is in ``trusted``. Each task folds its rows to two counts per bucket, so
-    what is summed and what the driver gets has a fixed size. Without trusted n-grams the ratio is 0 everywhere.
+    what is summed and what the driver gets has a fixed size. The trusted counts are smoothed by ``prior`` * BUCKETS n-grams
+    distributed as in raw text, so an n-gram that little trusted text happens to lack says little. Without trusted n-grams
+    the ratio is 0 everywhere.
     """
     prepare(df.sparkSession)
     rows = df.select(F.col(doc_id).alias("id"), F.col(text).cast("binary").alias("text")).filter("text is not null")
@@ -140,13 +141,20 @@ def fit(
         .groupBy("bucket")
         .agg(F.sum("target").alias("target"), F.sum("raw").alias("raw"))
     )
-    target, raw = np.full(BUCKETS, smoothing), np.full(BUCKETS, smoothing)
+    target, raw = np.zeros(BUCKETS), np.zeros(BUCKETS)
     found = counted.toPandas()
     target[found["bucket"]] += found["target"]
     raw[found["bucket"]] += found["raw"]
-    if not len(found) or not found["target"].sum():
+    return weigh(target, raw, prior)
+
+
+def weigh(target: np.ndarray, raw: np.ndarray, prior: float = 2.0) -> np.ndarray:
+    """The log ratio of two multinomials given by counts."""
+    if not target.sum():
         return np.zeros(BUCKETS)
-    return np.log(target / target.sum()) - np.log(raw / raw.sum())
+    share = (raw + 1) / (raw + 1).sum()
+    smoothed = target + prior * BUCKETS * share
+    return np.log(smoothed / smoothed.sum()) - np.log(share)
 
 
 def ratios(texts: list[bytes | None], weights: np.ndarray) -> np.ndarray:
@@ -159,7 +167,7 @@ def ratios(texts: list[bytes | None], weights: np.ndarray) -> np.ndarray:
 
 
 def judge(
-    df: DataFrame, weights: np.ndarray, threshold: float = -0.1, text: str = "text", keep: tuple[str, ...] = ("doc_id",)
+    df: DataFrame, weights: np.ndarray, threshold: float = -0.25, text: str = "text", keep: tuple[str, ...] = ("doc_id",)
 ) -> DataFrame:
     """The columns ``keep``, the base counts, ``base_failed``, ``ratio`` and ``kept`` of every row, in one pass.
 
