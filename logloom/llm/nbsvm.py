@@ -234,11 +234,13 @@ def scores(texts: list[bytes | None], model: Model) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(model.slope * (out + model.bias) + model.offset, -700, 700)))
 
 
-def score(df: DataFrame, model: Model, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns ``keep`` and ``score`` (0 to 1, higher: label 1 likelier) of every row, in one pass over the texts.
+def score(
+    df: DataFrame, model: Model, text: str = "text", keep: tuple[str, ...] = ("doc_id",), name: str = "score"
+) -> DataFrame:
+    """The columns ``keep`` and ``name`` (0 to 1, higher: label 1 likelier) of every row, in one pass over the texts.
 
     A null text counts as empty: it has no n-gram, so its score is that of the bias alone. Repeated rows each return a
-    row, with equal scores. If ``keep`` holds a column named score, that one wins and ours is lost, so rename it first.
+    row, with equal scores. An empty table gives an empty one. Where ``keep`` has a column named score, give another name.
     """
     prepare(df.sparkSession)
     chosen = df.select(F.col(text).cast("binary").alias("__text"), *keep)
@@ -246,7 +248,7 @@ def score(df: DataFrame, model: Model, text: str = "text", keep: tuple[str, ...]
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = scores(batch.column(0).to_pylist(), model)
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(found)], [*batch.schema.names[1:], "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(found)], [*batch.schema.names[1:], name])
 
-    schema = T.StructType([*chosen.schema.fields[1:], T.StructField("score", T.DoubleType())])
+    schema = T.StructType([*chosen.schema.fields[1:], T.StructField(name, T.DoubleType())])
     return chosen.mapInArrow(run, schema)
