@@ -159,20 +159,24 @@ def _ordered(direction: str, columns: str) -> str:
 
 
 _FAILURE_COLUMNS = "source, event_action, service_name, user_id, planner_id, request_id, message, error_message"
-_FAILURES = f"select * from failures order by {_ordered('desc', _FAILURE_COLUMNS)} limit 5000"
+_FAILURES_NEWEST = f"select * from failures order by {_ordered('desc', _FAILURE_COLUMNS)} limit 100"
 
 _TIMELINE_COLUMNS = "user_id, source, event_action, level, service_name, request_id, message, error_message"
-_TIMELINE = f"""select * exclude (rn) from (select *, row_number() over (partition by user_id order by {_ordered('desc', _TIMELINE_COLUMNS)}) as rn from (
-    select user_id, 'API' as source, t as event_time, event_action, level, service_name, request_id, message, error_message from api where user_id is not null
-    union all select user_id, 'Cobrand', t, event_action, null, source_file, request_id, null, error_message from spans where user_id is not null)) where rn <= 200"""
+_TIMELINE = """select user_id, 'API' as source, t as event_time, event_action, level, service_name, request_id, message, error_message
+    from api where user_id is not null
+    union all select user_id, 'Cobrand', t, event_action, null, source_file, request_id, null, error_message from spans where user_id is not null"""
+_TIMELINE_NEWEST = f"""select * exclude (rn) from (select *, row_number() over (partition by user_id
+    order by {_ordered('desc', _TIMELINE_COLUMNS)}) as rn from ({_TIMELINE})) where rn <= 200"""
 
 _WORKFLOW = """select request_id, 'API' as source, t as event_time, event_action, method_name, level, null::varchar as result_status, duration_ms,
     message, error_message from api where request_id is not null
     union all select request_id, 'Cobrand', t, event_action, method_name, null, result_status, duration_ms, null, error_message
     from spans where request_id is not null"""
 _WORKFLOW_COLUMNS = "request_id, source, event_action, method_name, level, result_status, duration_ms, message, error_message"
-_WORKFLOW_CUT = f"""select * exclude (rn) from (select *, row_number() over (partition by request_id, source
-    order by {_ordered('asc', _WORKFLOW_COLUMNS)}) as rn from ({_WORKFLOW})) where rn <= 500"""
+_WORKFLOW_OLDEST = f"""select * exclude (rn) from (select *, row_number() over (partition by request_id, source
+    order by {_ordered('asc', _WORKFLOW_COLUMNS)}) as rn from ({_WORKFLOW})) where rn <= 5"""
+_WORKFLOW_ONE = """select planner_id, 'API' as source, t as event_time, event_action, method_name, level, null::varchar as result_status, duration_ms,
+    message, error_message from api where planner_id = 71"""
 _EXPLAINED_COLUMNS = _WORKFLOW_COLUMNS + ", match_text, signature, probable_component, recommended_event_action, raw_pattern"
 
 
@@ -199,9 +203,19 @@ _FOUND = f"(select raw_pattern from gap where signature ilike '%{_SEARCH}%' or r
 _SEARCH_COLUMNS = "source, event_action, level, service_name, user_id, request_id, planner_id, message, error_message, error_stack"
 
 
-def _hit(columns: str, text: str) -> str:
-    literal = " or ".join(f"coalesce({c.strip()} ilike '%{_SEARCH}%', false)" for c in columns.split(","))
-    return f"({literal} or coalesce({_pattern(text)} in {_FOUND}, false))"
+def _hit(columns: str, text: str, search: str = _SEARCH, found: str = _FOUND) -> str:
+    literal = " or ".join(f"coalesce({c.strip()} ilike '%{search}%', false)" for c in columns.split(","))
+    return f"({literal} or coalesce({_pattern(text)} in {found}, false))"
+
+
+_SEARCH_API = """select 'API' as source, t as event_time, event_action, level, service_name, user_id, request_id, planner_id, message, error_message,
+    error_stack from api"""
+_SEARCH_SPANS = """select 'Cobrand' as source, t as event_time, event_action, null::varchar as level, source_file as service_name, user_id, request_id,
+    null::bigint as planner_id, null::varchar as message, error_message, error_stack from spans"""
+_SEARCH_LOOSE = """select 'Cobrand' as source, t as event_time, event_action, level, source_file as service_name, try_cast(user_id as bigint) as user_id,
+    request_id, null::bigint as planner_id, message, error_message, error_stack from cob"""
+_API_TEXTS, _SPAN_TEXTS = "message, error_message, error_stack, event_action", "error_message, error_stack, event_action"
+_UPSTREAM = ("upstream", "(select raw_pattern from gap where signature ilike '%upstream%' or raw_pattern ilike '%upstream%')")
 
 
 _DAILY = f"""select cast(t as date) as day, 'API' as source, count(*) as count from api where t is not null and level = 'error' group by 1
@@ -329,26 +343,30 @@ _BODIES = {
         union all select user_id, 0, 0, 1, cast(error_message is not null as int), null from spans where user_id is not null) group by 1""",
     "user_platforms": "select distinct user_id, platform_name from api_log where user_id is not null and platform_name is not null",
     "user_planners": "select distinct user_id, planner_id from api_log where user_id is not null and planner_id is not null",
-    "failure_table": _enriched(_FAILURES, "coalesce(message, error_message)"),
+    "failure_table": _enriched("select * from failures", "coalesce(message, error_message)"),
+    "failures_newest": _enriched(_FAILURES_NEWEST, "coalesce(message, error_message)"),
     "failure_page": f"""select * from ({_enriched(
-        f"select * from failures where error_message ilike '%upstream%' or message ilike '%upstream%' order by "
-        f"{_ordered('desc', _FAILURE_COLUMNS)} limit 5000", "coalesce(message, error_message)")})
+        "select * from failures where error_message ilike '%upstream%' or message ilike '%upstream%'", "coalesce(message, error_message)")})
         order by {_ordered('desc', _FAILURE_COLUMNS + ', match_text, signature, probable_component, recommended_event_action, raw_pattern')}
         limit 50 offset 100""",
     "user_timeline": _enriched(_TIMELINE, "coalesce(message, error_message)"),
-    "workflow_events": _enriched(_WORKFLOW_CUT, "coalesce(message, error_message)"),
+    "user_timeline_newest": _enriched(_TIMELINE_NEWEST, "coalesce(message, error_message)"),
+    "user_timeline_one": _enriched(f"select * from ({_TIMELINE}) where user_id = 7", "coalesce(message, error_message)"),
+    "workflow_events": _enriched(_WORKFLOW, "coalesce(message, error_message)"),
+    "workflow_oldest": _enriched(_WORKFLOW_OLDEST, "coalesce(message, error_message)"),
+    "workflow_one": _enriched(_WORKFLOW_ONE, "coalesce(message, error_message)"),
     "workflow_timeline": f"""select request_id, row_number() over (partition by request_id order by {_ordered('asc', _EXPLAINED_COLUMNS)}) ::int as step,
-        marker, event_time, source, label from ({_label(_enriched(_WORKFLOW_CUT, "coalesce(message, error_message)"))})""",
+        marker, event_time, source, label from ({_label(_enriched(_WORKFLOW, "coalesce(message, error_message)"))})""",
     "workflow_summary": f"""select request_id, count(*) as events, count(error_message) as failures, min(event_time) as first_event,
         max(event_time) as last_event from ({_WORKFLOW}) group by 1""",
-    "raw_log_search": f"""select * from (
-        select 'API' as source, t as event_time, event_action, level, service_name, user_id, request_id, planner_id, message, error_message, error_stack
-        from api where {_hit('message, error_message, error_stack, event_action', 'message')}
-        union all select 'Cobrand', t, event_action, null, source_file, user_id, request_id, null, null, error_message, error_stack
-        from spans where {_hit('error_message, error_stack, event_action', 'error_message')}
-        union all select 'Cobrand', t, event_action, level, source_file, try_cast(user_id as bigint), request_id, null, message, error_message, error_stack
-        from cob where {_hit('message, error_message, error_stack, event_action', 'message')})
-        order by {_ordered('desc', _SEARCH_COLUMNS)} limit 5000""",
+    "raw_log_search": f"""{_SEARCH_API} where {_hit(_API_TEXTS, 'message')}
+        union all {_SEARCH_SPANS} where {_hit(_SPAN_TEXTS, 'error_message')}
+        union all {_SEARCH_LOOSE} where {_hit(_API_TEXTS, 'message')}""",
+    "search_by_ids": f"""select * from ({_SEARCH_API} union all {_SEARCH_SPANS} union all {_SEARCH_LOOSE})
+        where user_id = 8 and request_id = 'req-8'""",
+    "search_by_planner": f"{_SEARCH_API} where planner_id = 71 and {_hit(_API_TEXTS, 'message', *_UPSTREAM)}",
+    "search_cobrand": f"""select * from ({_SEARCH_SPANS} where {_hit(_SPAN_TEXTS, 'error_message', *_UPSTREAM)}
+        union all {_SEARCH_LOOSE} where {_hit(_API_TEXTS, 'message', *_UPSTREAM)}) order by {_ordered('desc', _SEARCH_COLUMNS)} limit 300""",
     # audit
     "reconcile_counts": "select *, json_rows = warehouse_rows and json_rows = parquet_rows as passed from recon",
     "reconcile_cobrand": """select source_file, count(*) as json_rows, count(*) as warehouse_rows, count(*) as parquet_rows, true as passed

@@ -480,8 +480,17 @@ def failure_table(spark, d):
 
 @query
 def failure_page(spark, d):
+    """The third page, reached over the last rows of the first two."""
     rows = investigate.failure_table(*_both(spark, d), fx.gap_catalog(spark, d), START, END, search="upstream")
-    return investigate.page(rows, 3, 50)
+    after, seen = None, 0
+    for _ in range(2):
+        after, seen = investigate.last_of(investigate.page(rows, 50, after, seen), after, seen)
+    return investigate.page(rows, 50, after, seen)
+
+
+@query
+def failures_newest(spark, d):
+    return investigate.failure_table(*_both(spark, d), fx.gap_catalog(spark, d), START, END, limit=100)
 
 
 @query
@@ -489,11 +498,31 @@ def user_timeline(spark, d):
     return investigate.user_timeline(*_both(spark, d), fx.gap_catalog(spark, d))
 
 
+@query
+def user_timeline_newest(spark, d):
+    return investigate.user_timeline(*_both(spark, d), fx.gap_catalog(spark, d), limit=200)
+
+
+@query
+def user_timeline_one(spark, d):
+    return investigate.user_timeline(*_both(spark, d), fx.gap_catalog(spark, d), user_id=7)
+
+
 @query
 def workflow_events(spark, d):
     return investigate.workflow_events(*_both(spark, d), fx.gap_catalog(spark, d), "request_id")
 
 
+@query
+def workflow_oldest(spark, d):
+    return investigate.workflow_events(*_both(spark, d), fx.gap_catalog(spark, d), "request_id", limit=5)
+
+
+@query
+def workflow_one(spark, d):
+    return investigate.workflow_events(*_both(spark, d), fx.gap_catalog(spark, d), "planner_id", 71)
+
+
 @query
 def workflow_timeline(spark, d):
     rows = investigate.workflow_events(*_both(spark, d), fx.gap_catalog(spark, d), "request_id")
@@ -515,6 +544,26 @@ def raw_log_search(spark, d):
     )
 
 
+@query
+def search_by_ids(spark, d):
+    """Both sources by user and request; every filter must hold."""
+    facts = (*_both(spark, d), fx.cobrand_facts(spark, d), fx.gap_catalog(spark, d))
+    return investigate.search_logs(*facts, user_id=8, request_id="req-8")
+
+
+@query
+def search_by_planner(spark, d):
+    """Only API rows have a planner."""
+    facts = (*_both(spark, d), fx.cobrand_facts(spark, d), fx.gap_catalog(spark, d))
+    return investigate.search_logs(*facts, search="upstream", planner_id=71)
+
+
+@query
+def search_cobrand(spark, d):
+    facts = (*_both(spark, d), fx.cobrand_facts(spark, d), fx.gap_catalog(spark, d))
+    return investigate.search_logs(*facts, search="upstream", source="Cobrand", limit=300)
+
+
 # --- audit ---------------------------------------------------------------------------------------------------
 
 

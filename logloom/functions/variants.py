@@ -24,7 +24,8 @@ def first_member(key: str, *objects: str, kind: str = "string") -> Column:
     ``objects`` are columns that were read as maps of texts.
     """
     found = [f"try_element_at({o}, '{key}')" for o in objects]
-    return F.expr(f"coalesce({', '.join(f if kind == 'string' else f'try_cast({f} as {kind})' for f in found)})")
+    first = f"coalesce({', '.join(found)})"
+    return F.expr(first if kind == 'string' else f'try_cast({first} as {kind})')
 
 
 def whole_number(text: Column) -> Column:

@@ -163,17 +163,13 @@ def signature_patterns(catalog: DataFrame, search: str) -> DataFrame:
     )
 
 
-# Rows that look nothing up are spread over this many keys.
-_SPREAD = 4096
-
-
 def lookup_key(pattern, spread_over):
     """Join key of a row: its pattern, or, without one, a key that matches nothing.
 
     A NULL key would send all such rows to one task. Patterns never contain a
-    digit (digit runs became ``{n}``), so a number is free to spread them.
+    digit (digit runs became ``{n}``), so numbers are free to spread them.
     """
-    return F.coalesce(pattern, F.pmod(F.xxhash64(*spread_over), F.lit(_SPREAD)).cast("string"))
+    return F.coalesce(pattern, F.xxhash64(*spread_over).cast("string"))
 
 
 def enrich(rows: DataFrame, catalog: DataFrame, text: str, source: str = "source") -> DataFrame:
@@ -184,7 +180,9 @@ def enrich(rows: DataFrame, catalog: DataFrame, text: str, source: str = "source
     join side and strategy are left to the optimizer: the catalog is broadcast
     while its measured size allows it, and shuffled beyond.
     """
-    pattern = F.when(F.col("event_action").isNull() & F.col(text).isNotNull(), message_pattern(F.col(text)))
+    # Noise is never in the catalog, so it is not looked up; else nearly all rows would share one key.
+    asks = F.col("event_action").isNull() & is_signal(F.col(text))
+    pattern = F.when(asks, message_pattern(F.col(text)))
     keyed = rows.withColumns(
         {"_system": F.upper(source), "_key": lookup_key(pattern, ("event_time", text, source))}
     ).alias("r")

@@ -1,14 +1,16 @@
 """Following one failure, user, request or search term through all facts.
 
-Every report with an ``id`` argument also runs without it, for all ids at once.
-The newest (or oldest) rows per id are then picked by a ranking that Spark cuts
-off inside each task before it shuffles, so an id that owns a third of the rows
-sends at most ``limit`` rows per task.
+Every report with an ``id`` argument also runs without it, for all ids at once, and
+gives all rows unless a ``limit`` is asked for. The newest (or oldest) rows per id are
+then picked by a ranking that Spark cuts off inside each task before it shuffles, so
+an id that owns a third of the rows sends at most ``limit`` rows per task. The cut
+needs limits up to ``spark.sql.optimizer.windowGroupLimitThreshold`` (``session.py``);
+without a limit nothing is ranked.
 """
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Row, Window, functions as F
 
 from logloom.constants import API, COBRAND
 from logloom.functions import (
@@ -40,8 +42,10 @@ def _order(df: DataFrame, newest: bool) -> list:
     return [time, *[F.asc_nulls_last(c) for c in df.columns if c != "event_time"]]
 
 
-def _pick(df: DataFrame, limit: int, newest: bool = True, per: tuple[str, ...] = ()) -> DataFrame:
-    """The first ``limit`` rows in time order, overall or per key."""
+def _pick(df: DataFrame, limit: int | None, newest: bool = True, per: tuple[str, ...] = ()) -> DataFrame:
+    """The first ``limit`` rows in time order, overall or per key; without a limit all rows, unordered."""
+    if limit is None:
+        return df
     order = _order(df, newest)
     if not per:
         return df.orderBy(*order).limit(limit)
@@ -59,12 +63,12 @@ def _explained(rows: DataFrame, catalog: DataFrame) -> DataFrame:
 
 
 def failure_table(
-    events: DataFrame, spans: DataFrame, catalog: DataFrame, start, end, search: str = "", limit: int = 5000
+    events: DataFrame, spans: DataFrame, catalog: DataFrame, start, end, search: str = "", limit: int | None = None
 ) -> DataFrame:
-    """Newest failures of both facts whose text contains ``search``, explained.
+    """Failures of both facts whose text contains ``search``, explained, newest first.
 
-    Each branch is cut to ``limit`` before the union, so the final sort sees at
-    most twice that many rows.
+    With a ``limit`` each branch is cut to it before the union, so the final sort sees
+    at most twice that many rows.
     """
     api = (
         within(events, start, end)
@@ -97,12 +101,39 @@ def failure_table(
         )
     )
     newest = _pick(_stack([_pick(api, limit), _pick(cobrand, limit)]), limit)
-    return _explained(newest, catalog)
+    explained = _explained(newest, catalog)
+    return explained.orderBy(*_order(explained, True))
 
 
-def page(rows: DataFrame, number: int, size: int) -> DataFrame:
-    """One page (from 1) of a result in newest-first order."""
-    return rows.orderBy(*_order(rows, True)).offset((number - 1) * size).limit(size)
+def page(rows: DataFrame, size: int, after: Row | None = None, seen: int = 1) -> DataFrame:
+    """``size`` rows of a result in newest-first order, from the newest or from behind the row ``after``.
+
+    Rows are told apart by all of their columns. ``seen`` says how many rows equal to ``after`` earlier pages have
+    shown, so that repeated rows are neither lost nor shown twice. Whatever the page, a task keeps ``size`` + ``seen`` rows.
+    """
+    order = _order(rows, True)
+    if after is None:
+        return rows.orderBy(*order).limit(size)
+    columns = ["event_time", *[c for c in rows.columns if c != "event_time"]]
+    types = {f.name: f.dataType for f in rows.schema}
+    reached = F.lit(True)
+    for name in reversed(columns):
+        value, column = F.lit(after[name]).cast(types[name]), F.col(name)
+        if after[name] is None:  # nothing stands behind a null
+            reached = column.isNull() & reached
+        else:
+            behind = column < value if name == "event_time" else column > value
+            reached = F.coalesce(behind, F.lit(True)) | (column.eqNullSafe(value) & reached)
+    return rows.where(reached).orderBy(*order).limit(size + seen).offset(seen)
+
+
+def last_of(shown: DataFrame, after: Row | None = None, seen: int = 0) -> tuple[Row | None, int]:
+    """``after`` and ``seen`` for the page behind one that is ``shown``, given those it was made with."""
+    rows = shown.collect()  # one page
+    if not rows:
+        return after, seen
+    same = sum(row == rows[-1] for row in rows)
+    return rows[-1], same + (seen if rows[-1] == after else 0)
 
 
 def labelled(rows: DataFrame) -> DataFrame:
@@ -147,9 +178,9 @@ def _of(df: DataFrame, key: str, value) -> DataFrame:
 
 
 def user_timeline(
-    events: DataFrame, spans: DataFrame, catalog: DataFrame, user_id: int | None = None, limit: int = 200
+    events: DataFrame, spans: DataFrame, catalog: DataFrame, user_id: int | None = None, limit: int | None = None
 ) -> DataFrame:
-    """The newest rows of a user over both facts, explained; for every user without ``user_id``."""
+    """The rows of a user over both facts, explained; of every user without ``user_id``. ``limit`` keeps the newest of each."""
     api = _of(events, "user_id", user_id).select(
         "user_id",
         _as(API),
@@ -215,9 +246,9 @@ def _workflow_sides(events: DataFrame, spans: DataFrame, id_type: str, id_value)
 
 
 def workflow_events(
-    events: DataFrame, spans: DataFrame, catalog: DataFrame, id_type: str, id_value=None, limit: int = 500
+    events: DataFrame, spans: DataFrame, catalog: DataFrame, id_type: str, id_value=None, limit: int | None = None
 ) -> DataFrame:
-    """The oldest ``limit`` rows per fact of a request, planner or user, explained.
+    """The rows of a request, planner or user, explained; ``limit`` keeps the oldest of each fact.
 
     Spans have no planner. Without ``id_value`` every id is reported.
     """
@@ -228,10 +259,21 @@ def workflow_events(
 
 
 def workflow_timeline(explained: DataFrame, id_type: str) -> DataFrame:
-    """Number the rows of each id in time order and add label and mark."""
+    """Number the rows of each id in time order and add label and mark.
+
+    Rows are numbered within their hour and then moved by the rows of the id's earlier hours, so that no task holds an
+    id whole: the second window sees one row per id and hour.
+    """
+    timed = explained.withColumn("_hour", F.date_trunc("hour", F.col("event_time").cast("timestamp")))
     order = [F.asc_nulls_last("event_time"), *[F.asc_nulls_last(c) for c in explained.columns if c != "event_time"]]
-    number = F.row_number().over(Window.partitionBy(id_type).orderBy(*order))
-    return labelled(explained).withColumn("step", number)
+    within_hour = F.row_number().over(Window.partitionBy(id_type, "_hour").orderBy(*order))
+    hours = timed.groupBy(F.col(id_type).alias("_id"), F.col("_hour").alias("_of")).agg(F.count(F.lit(1)).alias("_rows"))
+    running = F.sum("_rows").over(Window.partitionBy("_id").orderBy(F.asc_nulls_last("_of")))
+    hours = hours.withColumn("_before", running - F.col("_rows"))
+    same = F.col(id_type).eqNullSafe(F.col("_id")) & F.col("_hour").eqNullSafe(F.col("_of"))
+    numbered = timed.withColumn("_step", within_hour).join(hours, same)
+    step = (F.col("_step") + F.col("_before")).cast("int")
+    return labelled(numbered.withColumn("step", step).select(*explained.columns, "step"))
 
 
 def workflow_summary(events: DataFrame, spans: DataFrame, id_type: str, id_value=None) -> DataFrame:
@@ -255,9 +297,9 @@ def search_logs(
     request_id: str = "",
     planner_id: int | None = None,
     source: str = "Both",
-    limit: int = 5000,
+    limit: int | None = None,
 ) -> DataFrame:
-    """Newest rows of the three facts that match every given filter; a blank filter is skipped.
+    """Rows of the three facts that match every given filter; a blank filter is skipped, a ``limit`` keeps the newest.
 
     A search also finds the lines that normalize to a pattern whose signature or
     text it matches, even if the line itself does not contain it.

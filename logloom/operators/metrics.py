@@ -49,21 +49,24 @@ def kpis(events: DataFrame, spans: DataFrame, start, end, exact: bool = True) ->
     ``exact=False`` estimates the two distinct counts with fixed-size sketches,
     which spares the shuffle of every distinct request id.
     """
+    api = within(events, start, end)
     distinct = F.count_distinct if exact else F.approx_count_distinct
-    api = within(events, start, end).agg(
-        F.count("*").alias("total_events"),
-        F.count_if(is_api_error()).alias("errors"),
-        F.count_if(is_api_warning()).alias("warnings"),
-        distinct("user_id").alias("unique_users"),
-        distinct("request_id").alias("requests"),
-        F.avg("duration_ms").alias("avg_duration_ms"),
-    )
+    counted = {"unique_users": distinct("user_id"), "requests": distinct("request_id")}
+    figures = {
+        "total_events": F.count("*"),
+        "errors": F.count_if(is_api_error()),
+        "warnings": F.count_if(is_api_warning()),
+        "avg_duration_ms": F.avg("duration_ms"),
+    }
+    # Several exact distinct counts in one aggregate would write every row out once for each of them.
+    each = [figures, *({name: count} for name, count in counted.items())] if exact else [figures | counted]
+    sides = [api.agg(*[column.alias(name) for name, column in part.items()]) for part in each]
     cobrand = within(spans, start, end).agg(
         F.count("*").alias("total_events"), F.count_if(is_span_error()).alias("errors")
     )
     rate = _percent(F.col("errors"), F.col("total_events"))
     return (
-        _stack([api, cobrand])
+        _stack([*sides, cobrand])
         .agg(
             F.sum("total_events").alias("total_events"),
             F.sum("errors").alias("errors"),

@@ -8,8 +8,7 @@ caches or driver loops, which works the same on a stream.
 from pyspark.sql import DataFrame, functions as F
 
 from logloom.constants import CHILDREN_KEY, DETAIL_FIELDS, IDENTITY_FIELDS
-from logloom.functions import first_member, record, subtree
-from logloom.operators.flatten import with_cobrand_time
+from logloom.functions import first_member, once, parse_cobrand_time, record, subtree
 
 
 def _children(node):
@@ -39,7 +38,7 @@ _USUAL_DEPTH = 16
 
 
 def unfold(traces: DataFrame) -> DataFrame:
-    """One row per node: ``path``, ``parent``, ``depth``, ``node`` next to the trace's columns.
+    """One row per node: ``path``, ``parent``, ``depth``, ``node`` next to the trace's columns and its parsed time.
 
     The path of the root is ``0``, that of its third child ``0.2``. Any depth is
     unfolded: a trace that is not exhausted after the usual number of levels goes
@@ -58,6 +57,7 @@ def unfold(traces: DataFrame) -> DataFrame:
     deeper = F.when(F.size(F.element_at("_levels", -1)) == 0, F.col("_levels")).otherwise(
         F.aggregate(F.sequence(F.lit(0), lists), F.col("_levels"), lambda levels, _: _next_level(levels))
     )
+    traces = once(traces, {"trace_time": parse_cobrand_time("trace_timestamp")})
     nodes = traces.withColumn("_levels", usual).withColumn("_node", F.explode(F.flatten(deeper)))
     return nodes.select(*traces.columns, "_node.*")
 
@@ -73,6 +73,7 @@ def span_nodes(traces: DataFrame) -> DataFrame:
         "depth",
         "source_file",
         "trace_timestamp",
+        "trace_time",
         "raw_id",
         "node",
     )
@@ -97,7 +98,12 @@ def span_facts(nodes: DataFrame) -> DataFrame:
     that most spans lack are cheap to look for.
     """
     known = [c for c in nodes.columns if c != "node"]
-    read = nodes.select(*known, record(F.col("node"), _NODE).alias("n"))
+    read = nodes.select(*known, record(F.col("node"), _NODE).alias("n")).withColumn("own_time", F.col("n.timestamp"))
+    # Most nodes have no time of their own; that of their trace was parsed before the tree was unfolded.
+    read = once(
+        read,
+        {"parsed_event_time": F.when(F.col("own_time").isNull(), F.col("trace_time")).otherwise(parse_cobrand_time("own_time"))},
+    )
     error, details, attributes = "n.error", "n.details", "n.attributes"
     flat = read.select(
         "trace_id",
@@ -106,7 +112,7 @@ def span_facts(nodes: DataFrame) -> DataFrame:
         "depth",
         F.lit("cobrand").alias("source"),
         "source_file",
-        F.coalesce("n.timestamp", "trace_timestamp").alias("event_time"),
+        F.coalesce("own_time", "trace_timestamp").alias("event_time"),
         F.col("n.`event.action`").alias("event_action"),
         F.col("n.`method.name`").alias("method_name"),
         F.col("n.`event.duration_ms`").alias("duration_ms"),
@@ -120,8 +126,9 @@ def span_facts(nodes: DataFrame) -> DataFrame:
         *[first_member(key, details, attributes, kind=kind).alias(name) for name, key, kind in IDENTITY_FIELDS],
         *[first_member(key, details, kind=kind).alias(name) for name, key, kind in DETAIL_FIELDS],
         "raw_id",
+        "parsed_event_time",
     )
-    return with_cobrand_time(flat)
+    return flat.withColumn("event_date", F.col("parsed_event_time").cast("date"))
 
 
 def span_context(nodes: DataFrame) -> DataFrame:
