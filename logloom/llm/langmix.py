@@ -38,8 +38,14 @@ def _trigrams(texts: list[bytes | None], rows: int) -> np.ndarray:
     inside = np.ones(len(data), bool)
     inside[np.append(first - 1, len(data) - 1)] = False
     row[inside] = np.repeat(np.arange(rows, dtype=np.int32), lengths)
-    keep = np.ones(len(data), bool)
-    keep[1:] = (data[1:] != 32) | (data[:-1] != 32) | (row[1:] == rows) | (row[:-1] == rows)
+    # Of a run of spaces the first stays, or those between texts.
+    space, between = data == 32, row == rows
+    begins = space.copy()
+    begins[1:] &= ~space[:-1]
+    run = np.cumsum(begins)
+    holds = np.zeros(run[-1] + 1, bool)
+    holds[run[between]] = True
+    keep = ~space | between | (begins & ~holds[run])
     data, row = data[keep].astype(np.uint32), row[keep]
     code = data[:-2] | data[1:-1] << np.uint32(8) | data[2:] << np.uint32(16)
     bucket = (code * np.uint32(2654435761)) >> np.uint32(32 - 14)
@@ -48,7 +54,10 @@ def _trigrams(texts: list[bytes | None], rows: int) -> np.ndarray:
 
 
 def profiles(texts: list[bytes | None]) -> Iterator[tuple[int, int, np.ndarray]]:
-    """``(first row, last row + 1, counts)`` by blocks; a text longer than a block is counted in pieces that end at white space."""
+    """``(first row, last row + 1, counts)`` by blocks.
+
+    A text longer than a block is counted in pieces that end at white space, without the trigram around each such space.
+    """
     for start, stop in blocks(texts, _ROWS, _SIZE):
         rows = stop - start
         if rows > 1:

@@ -116,5 +116,43 @@ QUERIES = {
     "op10_urls": op10_urls,
 }
 
-#: DuckDB SQL of the queries that SQL can express.
-ORACLES: dict[str, str] = {}
+#: DuckDB SQL of the queries that SQL can express. The others are held against plain Python in the tests.
+ORACLES: dict[str, str] = {
+    "op5_mixing": r"""
+        with sizes as (
+            select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint as size
+            from documents
+        ),
+        totals as (
+            select source, sum(size)::bigint as source_size, 3 * sum(size)::bigint as cap,
+                [5, 2, 1][(row_number() over (order by encode(source) nulls last) - 1) % 3 + 1] as weight
+            from sizes group by source
+        ),
+        -- The level of the water when the sources with the lowest caps by weight are clamped; the lowest level that leaves
+        -- no other source above its cap is the one that clamping round by round reaches.
+        clamped as (
+            select *, coalesce(sum(cap) over before, 0)::bigint as caps,
+                (sum(weight) over () - coalesce(sum(weight) over before, 0))::bigint as free
+            from totals window before as (order by cap / weight, source rows between unbounded preceding and 1 preceding)
+        ),
+        level as (
+            select coalesce(min(l), 0) as l
+            from (select ((select sum(size) from sizes) - caps) / free as l, cap / weight as most from clamped)
+            where l <= most
+        ),
+        goals as (
+            select source, source_size, least(l * weight, cap::double) as target from totals, level
+        ),
+        whole as (
+            select *, case when source_size > 0 then floor(target / source_size)::bigint else 0 end as whole from goals
+        ),
+        placed as (
+            select s.doc_id, s.size, w.source_size, w.target, w.whole, w.target - w.whole * w.source_size as rest,
+                sum(s.size) over (partition by s.source order by md5('1:' || coalesce(s.doc_id::varchar, 'null'))) - s.size as before
+            from sizes s join whole w on s.source is not distinct from w.source
+        )
+        select doc_id, size, source_size, target,
+            (size * (whole + case when rest > 0 and before + size / 2 <= rest then 1 else 0 end))::bigint as taken
+        from placed
+    """,
+}
