@@ -116,7 +116,7 @@ _CTES = {
         case when ok and day <= 5 then timestamp '2024-02-03 00:00:00' end as deleted_at,
         case when not ok then 'FAILED' when day <= 5 then 'DELETED' when day > 25 then 'VALIDATED_KEPT' else 'VALIDATED' end as status,
         case when ok and day <= 5 then sha256(source_file) end as checksum,
-        case when ok and day > 25 then 'AUTO_DELETE_JSON is disabled' end as notes
+        case when ok and day > 25 then 'kept on purpose: validated files are not removed' end as notes
         from (select *, json_rows = warehouse_rows and json_rows = parquet_rows as ok,
               cast(regexp_extract(source_file, '-([0-9]{2})[.]log', 1) as int) as day from recon)""",
 }

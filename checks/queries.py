@@ -596,18 +596,18 @@ def reconcile_cobrand(spark, d):
 def _manifest(spark, d):
     """Archive all files, validate them, and keep or delete the sources by day."""
     at = lambda text: F.lit(text).cast("timestamp_ntz")
-    counts = _reconciled(spark, d)
+    counts = _reconciled(spark, d).withColumn("log_type", F.lit("api"))
     archived = counts.select(
-        "source_file", F.lit("api").alias("log_type"), F.concat(F.lit("archive/"), "source_file").alias("archive_path")
+        "source_file", "log_type", F.concat(F.lit("archive/"), "source_file").alias("archive_path")
     )
     empty = archived.where(F.lit(False))
     state = manifest.record_archived(manifest.empty_like(empty), archived, at("2024-02-01 00:00:00"))
     state = manifest.record_validation(state, counts, at("2024-02-02 00:00:00"))
     day = F.regexp_extract("source_file", r"-(\d\d)[.]log", 1).cast("int")
     valid = state.where(F.col("status") == "VALIDATED").withColumn("day", day)
-    gone = valid.where(F.col("day") <= 5).select("source_file", F.sha2("source_file", 256).alias("checksum"))
+    gone = valid.where(F.col("day") <= 5).select("log_type", "source_file", F.sha2("source_file", 256).alias("checksum"))
     state = manifest.record_deleted(state, gone, at("2024-02-03 00:00:00"))
-    return manifest.record_kept(state, valid.where(F.col("day") > 25).select("source_file"))
+    return manifest.record_kept(state, valid.where(F.col("day") > 25).select("log_type", "source_file"))
 
 
 @query

@@ -133,7 +133,7 @@ VALIDATED = "VALIDATED"
 FAILED = "FAILED"
 DELETED = "DELETED"
 VALIDATED_KEPT = "VALIDATED_KEPT"
-KEPT_NOTE = "AUTO_DELETE_JSON is disabled"
+KEPT_NOTE = "kept on purpose: validated files are not removed"
 
 # Characters stripped from both ends of a log line before it is parsed.
 LINE_WHITESPACE = (

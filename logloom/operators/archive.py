@@ -10,18 +10,27 @@ from logloom.sources.logs import MALFORMED
 PARTITIONS = ("log_type", "year", "month", "source_file")
 
 
+# Partition value of files whose name has no date.
+UNDATED = "unknown"
+
+# Characters that a partition's folder name spells as % and two hexadecimal digits; % itself comes first.
+_ESCAPED = "%\"#'*/:=?\\{[]^"
+
+
 def _year_and_month():
-    """From the file's name, whose last three dash-separated parts are its date."""
-    parts = F.split(F.regexp_replace("source_file", r"\.[^.]*$", ""), "-")
-    return F.get(parts, F.size(parts) - 3), F.get(parts, F.size(parts) - 2)
+    """From the file's name, which ends with its date; ``unknown`` for any other name."""
+    name = F.substring_index("source_file", "/", -1)
+    parts = [F.regexp_extract(name, r"(\d{4})-(\d{2})-\d{2}(?:\..*)?$", group) for group in (1, 2)]
+    return tuple(F.when(part == "", UNDATED).otherwise(part) for part in parts)
 
 
 def partition_path(root: str, log_type: str):
-    """Where the archive of a source file lies."""
+    """Where the archive of a source file lies: the folder that ``write_archive`` makes of the same columns."""
     year, month = _year_and_month()
-    return F.concat(
-        F.lit(f"{root}/log_type={log_type}/year="), year, F.lit("/month="), month, F.lit("/source_file="), F.col("source_file")
-    )
+    folder = F.col("source_file")
+    for character in _ESCAPED:
+        folder = F.replace(folder, F.lit(character), F.lit(f"%{ord(character):02X}"))
+    return F.concat(F.lit(f"{root}/log_type={log_type}/year="), year, F.lit("/month="), month, F.lit("/source_file="), folder)
 
 
 def archive_rows(checked: DataFrame, log_type: str) -> DataFrame:

@@ -23,12 +23,13 @@ def record_archived(manifest: DataFrame, files: DataFrame, now=None) -> DataFram
     incoming = files.select("source_file", "log_type", "archive_path").withColumns(
         {"archived_at": _now(now), "status": F.lit(ARCHIVED)}
     )
-    return upsert(manifest, incoming, ("source_file",), ("log_type", "archive_path", "archived_at", "status"))
+    return upsert(manifest, incoming, ("log_type", "source_file"), ("archive_path", "archived_at", "status"))
 
 
 def record_validation(manifest: DataFrame, counts: DataFrame, now=None) -> DataFrame:
-    """Store reconciled counts (see ``archive.reconcile``) and the verdict of each known file."""
+    """Store reconciled counts (see ``archive.reconcile``, with ``log_type``) and the verdict of each known file."""
     changes = counts.select(
+        "log_type",
         "source_file",
         "json_rows",
         "warehouse_rows",
@@ -37,24 +38,24 @@ def record_validation(manifest: DataFrame, counts: DataFrame, now=None) -> DataF
         F.when(F.col("passed"), VALIDATED).otherwise(FAILED).alias("status"),
         F.lit(None).cast("string").alias("notes"),
     )
-    return update(manifest, changes, "source_file")
+    return update(manifest, changes, ("log_type", "source_file"))
 
 
 def record_deleted(manifest: DataFrame, files: DataFrame, now=None) -> DataFrame:
-    """Files (``source_file``, ``checksum``) are gone; their fingerprint stays."""
-    changes = files.select("source_file", _now(now).alias("deleted_at"), F.lit(DELETED).alias("status"), "checksum")
-    return update(manifest, changes, "source_file")
+    """Files (``log_type``, ``source_file``, ``checksum``) are gone; their fingerprint stays."""
+    changes = files.select("log_type", "source_file", _now(now).alias("deleted_at"), F.lit(DELETED).alias("status"), "checksum")
+    return update(manifest, changes, ("log_type", "source_file"))
 
 
 def record_kept(manifest: DataFrame, files: DataFrame, notes: str = KEPT_NOTE) -> DataFrame:
-    """Files (``source_file``) passed and were left in place on purpose."""
-    changes = files.select("source_file", F.lit(VALIDATED_KEPT).alias("status"), F.lit(notes).alias("notes"))
-    return update(manifest, changes, "source_file")
+    """Files (``log_type``, ``source_file``) passed and were left in place on purpose."""
+    changes = files.select("log_type", "source_file", F.lit(VALIDATED_KEPT).alias("status"), F.lit(notes).alias("notes"))
+    return update(manifest, changes, ("log_type", "source_file"))
 
 
 def safe_to_purge(manifest: DataFrame) -> DataFrame:
-    """Source files whose archive is proven complete."""
-    return manifest.where(F.col("status") == VALIDATED).select("source_file", "log_type", "archive_path")
+    """Source files whose archive is proven complete and known."""
+    return manifest.where((F.col("status") == VALIDATED) & F.col("archive_path").isNotNull()).select("source_file", "log_type", "archive_path")
 
 
 def last_activity(manifest: DataFrame) -> DataFrame:

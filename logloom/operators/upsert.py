@@ -48,15 +48,16 @@ def upsert(
     return old.join(new, on, "full_outer").select([merged(c) for c in current.columns])
 
 
-def update(current: DataFrame, changes: DataFrame, key: str) -> DataFrame:
-    """Set the columns of ``changes`` on the rows of ``current`` with the same key.
+def update(current: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Set the columns of ``changes`` on the rows of ``current`` with the same keys.
 
     Keys that ``current`` does not hold are ignored.
     """
-    changed = [c for c in changes.columns if c != key]
+    changed = [c for c in changes.columns if c not in keys]
     old, new = current.alias("old"), changes.withColumn("_matched", F.lit(True)).alias("new")
+    on = reduce(lambda a, b: a & b, [F.col(f"old.{k}") == F.col(f"new.{k}") for k in keys])
     columns = [
         (F.when(F.col("new._matched"), F.col(f"new.{c}")).otherwise(F.col(f"old.{c}")) if c in changed else F.col(f"old.{c}")).alias(c)
         for c in current.columns
     ]
-    return old.join(new, F.col(f"old.{key}") == F.col(f"new.{key}"), "left").select(columns)
+    return old.join(new, on, "left").select(columns)

@@ -43,7 +43,7 @@ def load_raw(warehouse: Warehouse, log_type: str, pattern: str) -> list[str]:
     table = RAW_TABLES[log_type]
     paths = _new_paths(warehouse, pattern, warehouse.read(table))
     if paths:
-        lines = logs.scan_lines(warehouse.spark, paths)
+        lines = logs.scan_lines(warehouse.spark, paths, logs.root_of(warehouse.spark, pattern))
         identified = log_type == "cobrand"
         warehouse.append(table, logs.raw_table(lines, identified), shuffled=identified)
     return paths
@@ -184,20 +184,22 @@ def archive_logs(warehouse: Warehouse, folders: LogFolders, log_type: str) -> No
     files = logs.list_files(warehouse.spark, folders.of(log_type)).join(todo, "source_file", "left_semi")
     paths = [row.path for row in files.select("path").collect()]
     if paths:
-        checked = logs.parse_lines(logs.scan_lines(warehouse.spark, paths))
+        root = logs.root_of(warehouse.spark, folders.of(log_type))
+        checked = logs.parse_lines(logs.scan_lines(warehouse.spark, paths, root))
         archive.write_archive(archive.archive_rows(checked, log_type), folders.archive)
 
 
 def reconcile(warehouse: Warehouse, folders: LogFolders, log_type: str) -> DataFrame:
     """The three counts of every log file that has not been settled yet."""
     spark = warehouse.spark
-    settled = warehouse.read("archive_manifest").where(F.col("status").isin(VALIDATED, VALIDATED_KEPT, DELETED))
+    of_type = warehouse.read("archive_manifest").where(F.col("log_type") == log_type)
+    settled = of_type.where(F.col("status").isin(VALIDATED, VALIDATED_KEPT, DELETED))
     files = logs.list_files(spark, folders.of(log_type)).join(settled, "source_file", "left_anti")
     found = {row.source_file: row.path for row in files.select("source_file", "path").collect()}
     if not found:
         nothing = spark.createDataFrame([], "source_file string, rows bigint")
         return archive.reconcile(nothing, nothing, nothing)
-    lines = logs.parse_lines(logs.scan_lines(spark, list(found.values())))
+    lines = logs.parse_lines(logs.scan_lines(spark, list(found.values()), logs.root_of(spark, folders.of(log_type))))
     names = list(found)
     if log_type == "api":
         loaded = (_only(warehouse.read("event_fact_api"), names),)
@@ -213,10 +215,10 @@ def reconcile(warehouse: Warehouse, folders: LogFolders, log_type: str) -> DataF
 
 def record(warehouse: Warehouse, folders: LogFolders, log_type: str, now=None) -> None:
     """Write archived and validated (or failed) files into the manifest."""
-    counts = reconcile(warehouse, folders, log_type)
+    counts = reconcile(warehouse, folders, log_type).withColumn("log_type", F.lit(log_type))
     archived = counts.where(F.col("parquet_rows") > 0).select(
         "source_file",
-        F.lit(log_type).alias("log_type"),
+        "log_type",
         archive.partition_path(folders.archive, log_type).alias("archive_path"),
     )
     state = manifest.record_archived(warehouse.read("archive_manifest"), archived, now)
@@ -231,7 +233,7 @@ def record_kept(warehouse: Warehouse, notes: str | None = None) -> None:
 
 
 def record_deleted(warehouse: Warehouse, files: DataFrame, now=None) -> None:
-    """Note that ``files`` (``source_file``, ``checksum``) were removed by whoever owns them."""
+    """Note that ``files`` (``log_type``, ``source_file``, ``checksum``) were removed by whoever owns them."""
     warehouse.replace("archive_manifest", manifest.record_deleted(warehouse.read("archive_manifest"), files, now))
 
 

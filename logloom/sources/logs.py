@@ -4,7 +4,10 @@ One scan decides for every line whether it is a trace, a standalone event or
 malformed; later steps select a kind instead of reading the text again.
 """
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import re
+from itertools import takewhile
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from logloom.constants import LINE_WHITESPACE, TRACE_KEY
 from logloom.functions import once, subtree
@@ -19,12 +22,36 @@ _END_OF_LINE = "<end of log line>"
 COPIES_PER_TASK = 65536
 
 
-def scan_lines(spark: SparkSession, paths) -> DataFrame:
-    """``(source_file, line)`` of every non-blank line, trimmed."""
-    lines = spark.read.text(paths).select(
-        F.col("_metadata.file_name").alias("source_file"),
-        F.btrim("value", F.lit(LINE_WHITESPACE)).alias("line"),
-    )
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def root_of(spark: SparkSession, pattern: str) -> str:
+    """The log root of a glob: its folders in front of the first wildcard, as the path part of a URI."""
+    fixed = pattern.rstrip("/").split("/")
+    plain = len(list(takewhile(lambda part: not re.search(r"[*?\[{]", part), fixed)))
+    root = "/".join(fixed[:plain])
+    fs, target = _file_system(spark, root or "/")
+    if plain == len(fixed) and not (fs.exists(target) and fs.getFileStatus(target).isDirectory()):
+        target = target.getParent()
+    return fs.makeQualified(target).toUri().getRawPath().rstrip("/")
+
+
+def file_key(root: str, path: str = "_metadata.file_path") -> Column:
+    """What a file is known by: its path below the log root. Files of one name in two folders are two files."""
+    whole = F.regexp_replace(path, "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+    below = F.when(whole.startswith(f"{root}/"), F.substring(whole, len(root) + 2, 1 << 20)).otherwise(whole)
+    return F.url_decode(F.replace(below, F.lit("+"), F.lit("%2B")))
+
+
+def scan_lines(spark: SparkSession, paths, root: str) -> DataFrame:
+    """``(source_file, line)`` of every non-blank line, trimmed; files are named below ``root``."""
+    return trimmed(spark.read.text(paths), root)
+
+
+def trimmed(text: DataFrame, root: str) -> DataFrame:
+    lines = text.select(file_key(root).alias("source_file"), F.btrim("value", F.lit(LINE_WHITESPACE)).alias("line"))
     return lines.where(F.col("line") != "")
 
 
@@ -123,10 +150,12 @@ def rows_per_file(raw: DataFrame) -> DataFrame:
 
 
 def list_files(spark: SparkSession, pattern: str) -> DataFrame:
-    """``(path, source_file, length)`` of the files matching a glob; contents are not read."""
-    return spark.read.format("binaryFile").load(pattern).select(
-        "path", F.col("_metadata.file_name").alias("source_file"), "length"
-    )
+    """``(path, source_file, length)`` of the files matching a glob; contents are not read. None may match."""
+    fs, target = _file_system(spark, pattern)
+    if not fs.globStatus(target):
+        return spark.createDataFrame([], "path string, source_file string, length bigint")
+    files = spark.read.format("binaryFile").load(pattern)
+    return files.select("path", file_key(root_of(spark, pattern)).alias("source_file"), "length")
 
 
 def new_files(listing: DataFrame, known: DataFrame) -> DataFrame:
@@ -136,6 +165,5 @@ def new_files(listing: DataFrame, known: DataFrame) -> DataFrame:
 
 def fingerprints(spark: SparkSession, pattern: str) -> DataFrame:
     """``(source_file, checksum)``: SHA-256 of each file's bytes."""
-    return spark.read.format("binaryFile").load(pattern).select(
-        F.col("_metadata.file_name").alias("source_file"), F.sha2("content", 256).alias("checksum")
-    )
+    key = file_key(root_of(spark, pattern)).alias("source_file")
+    return spark.read.format("binaryFile").load(pattern).select(key, F.sha2("content", 256).alias("checksum"))

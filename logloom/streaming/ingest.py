@@ -1,10 +1,9 @@
 """Incremental ingest as a stream: the checkpoint remembers which files were read."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from logloom.constants import LINE_WHITESPACE
 from logloom.plans import refresh
 from logloom.sources import logs
 from logloom.sources.tables import Warehouse
@@ -13,20 +12,15 @@ from logloom.sources.tables import Warehouse
 def ingest(warehouse: Warehouse, log_type: str, folder: str, checkpoint: str, files_per_batch: int = 1000) -> StreamingQuery:
     """Load all files that arrived since the last run, then stop.
 
-    A file is always read whole within one batch, and a batch replaces the
+    ``folder`` is a folder or a glob over folders; files are known by their path below
+    it. A file is always read whole within one batch, and a batch replaces the
     partitions of its files, so a batch that is replayed after a failure changes
     nothing. Facts and registries follow from the raw table as in a batch run.
     """
     identified = log_type == "cobrand"
     text = warehouse.spark.readStream.schema(T.StructType([T.StructField("value", T.StringType())]))
-    lines = (
-        text.option("maxFilesPerTrigger", files_per_batch)
-        .text(folder)
-        .select(
-            F.col("_metadata.file_name").alias("source_file"), F.btrim("value", F.lit(LINE_WHITESPACE)).alias("line")
-        )
-        .where(F.col("line") != "")
-    )
+    files = text.option("maxFilesPerTrigger", files_per_batch).text(folder)
+    lines = logs.trimmed(files, logs.root_of(warehouse.spark, folder))
 
     def load(batch: DataFrame, _: int) -> None:
         warehouse.append(refresh.RAW_TABLES[log_type], logs.raw_table(batch, identified), shuffled=identified)

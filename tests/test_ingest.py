@@ -41,7 +41,7 @@ def test_last_duplicate_key_wins(spark):
 
 def test_scan_trims_and_skips_blank_lines(spark, folder, rows):
     write(f"{folder}/x-2026-01-01.log", ['  {"a":1}\t', "", "   ", ' {"b":2}\r'])
-    found = rows(logs.scan_lines(spark, f"{folder}/*.log"))
+    found = rows(logs.scan_lines(spark, f"{folder}/*.log", logs.root_of(spark, f"{folder}/*.log")))
     assert [r["line"] for r in found] == ['{"a":1}', '{"b":2}']
     assert {r["source_file"] for r in found} == {"x-2026-01-01.log"}
 

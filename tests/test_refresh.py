@@ -11,6 +11,7 @@ from logloom.plans import refresh
 from logloom.reports import REPORTS, Reports
 from logloom.sources import logs
 from logloom.sources.tables import Warehouse
+from logloom.streaming.ingest import ingest
 from tests.logfiles import API_DAY, STANDALONE, TRACE, standard, write
 
 
@@ -150,11 +151,74 @@ def test_lost_row_fails_validation_and_heals(spark, folder, rows):
     assert rows(warehouse.read("archive_manifest"))[0]["status"] == "VALIDATED"
     refresh.record_kept(warehouse)
     assert rows(warehouse.read("archive_manifest"))[0]["status"] == "VALIDATED_KEPT"
-    refresh.record_deleted(warehouse, logs.fingerprints(spark, folders.api))
+    refresh.record_deleted(warehouse, logs.fingerprints(spark, folders.api).withColumn("log_type", F.lit("api")))
     gone = rows(warehouse.read("archive_manifest"))[0]
     assert gone["status"] == "DELETED" and len(gone["checksum"]) == 64
 
 
+EVENTS = [{"timestamp": f"Sun, 12 Jul 2026 0{i}:00:04 AM", "event.action": f"step.{i}"} for i in range(5)]
+
+
+@pytest.mark.parametrize("first", ["h1", "h2"])
+@pytest.mark.parametrize("log_type", ["api", "cobrand"])
+def test_one_name_in_two_folders_is_two_files(spark, folder, rows, first, log_type):
+    """Whichever comes first, in batch and on the stream: nothing is skipped or overwritten, both are archived."""
+    day, later = "application-2026-07-12.log", {"h1": "h2", "h2": "h1"}[first]
+    lines = {"h1": EVENTS[:2], "h2": EVENTS[2:]}
+    folders = refresh.LogFolders(f"{folder}/logs/*/*.log", f"{folder}/logs/*/*.log", f"{folder}/archive")
+    batch, streamed = Warehouse(spark, f"{folder}/batch"), Warehouse(spark, f"{folder}/streamed")
+    load, fact = {
+        "api": (refresh.refresh_api, "event_fact_api"),
+        "cobrand": (refresh.refresh_cobrand, "cobrand_event_fact"),
+    }[log_type]
+    for host in (first, later):
+        write(f"{folder}/logs/{host}/{day}", lines[host])
+        load(batch, f"{folder}/logs/*/*.log")
+        ingest(streamed, log_type, f"{folder}/logs/*", f"{folder}/checkpoint").awaitTermination()
+        refresh.archive_logs(batch, folders, log_type)
+        refresh.record(batch, folders, log_type)
+    want = [(f"h1/{day}", e["event.action"]) for e in EVENTS[:2]] + [(f"h2/{day}", e["event.action"]) for e in EVENTS[2:]]
+    for warehouse in (batch, streamed):
+        assert sorted((r["source_file"], r["event_action"]) for r in rows(warehouse.read(fact))) == sorted(want)
+    state = rows(batch.read("archive_manifest"))
+    assert sorted((r["source_file"], r["status"], r["json_rows"]) for r in state) == [(f"h1/{day}", "VALIDATED", 2), (f"h2/{day}", "VALIDATED", 3)]
+    assert all(os.path.isdir(r["archive_path"]) for r in state)
+    assert archive.read_archive(spark, folders.archive).count() == 5
+
+
+def test_a_file_of_either_kind_has_its_own_audit_row(spark, folder, rows):
+    for kind in ("api", "cobrand"):
+        write(f"{folder}/logs/{kind}/application-2026-07-12.log", EVENTS)
+    folders = refresh.LogFolders(f"{folder}/logs/api/*.log", f"{folder}/logs/cobrand/*.log", f"{folder}/archive")
+    warehouse = Warehouse(spark, f"{folder}/warehouse")
+    refresh.run(warehouse, folders)
+    assert [(r["log_type"], r["status"]) for r in rows(warehouse.read("archive_manifest"), "log_type", "status")] == [
+        ("api", "VALIDATED"), ("cobrand", "VALIDATED")]
+
+
+def test_an_empty_folder_ends_nothing(spark, folder):
+    write(f"{folder}/logs/cobrand/application-2026-07-21.log", [TRACE, STANDALONE])
+    folders = refresh.LogFolders(f"{folder}/logs/api/*.log", f"{folder}/logs/cobrand/*.log", f"{folder}/archive")
+    warehouse = Warehouse(spark, f"{folder}/warehouse")
+    refresh.run(warehouse, folders)
+    assert warehouse.read("event_fact_api").count() == 0 and warehouse.read("span_fact").count() == 4
+
+
+def test_undated_names_have_an_archive_path(spark, folder, rows):
+    names = ["plain.log", "a-b-c.log", "odd name=1%+ü.log", "application-2026-07-12.log"]
+    for name in names:
+        write(f"{folder}/logs/api/{name}", EVENTS)
+    folders = refresh.LogFolders(f"{folder}/logs/api/*.log", f"{folder}/logs/none/*.log", f"{folder}/archive")
+    warehouse = Warehouse(spark, f"{folder}/warehouse")
+    refresh.run(warehouse, folders)
+    state = rows(warehouse.read("archive_manifest"))
+    assert sorted(r["source_file"] for r in state) == sorted(names)
+    assert all(r["status"] == "VALIDATED" and os.path.isdir(r["archive_path"]) for r in state)
+    assert sum("year=unknown/month=unknown" in r["archive_path"] for r in state) == 3
+    lost = warehouse.read("archive_manifest").withColumn("archive_path", F.lit(None).cast("string"))
+    assert manifest.safe_to_purge(lost).count() == 0
+
+
 def test_empty_warehouse_answers_every_report(warehouse):
     report = Reports(warehouse)
     bounds = ("2026-01-01", "2026-12-31")

@@ -53,7 +53,7 @@ def test_merging_twice_is_merging_once(spark, old, new):
 def test_update_ignores_unknown_keys(spark, rows):
     current = spark.createDataFrame([("a", 1, None, "x", None)], OLD)
     changes = spark.createDataFrame([("a", 5), ("b", 6)], "key string, n int")
-    assert [(r["key"], r["n"], r["status"]) for r in rows(update(current, changes, "key"))] == [("a", 5, "x")]
+    assert [(r["key"], r["n"], r["status"]) for r in rows(update(current, changes, ("key",)))] == [("a", 5, "x")]
 
 
 def test_conform_renames_adds_and_keeps(spark):
