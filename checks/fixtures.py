@@ -18,6 +18,9 @@ from logloom.operators.flatten import with_api_time, with_cobrand_time
 from logloom.operators.gaps import api_gap_source, cobrand_gap_source, gap_metadata, sync_gaps
 
 # Bounds that hold every readable time of the views.
+# API lines whose times bound the range reports.
+BOUND_EVENTS = (200, 700)
+
 START, END = "1990-01-01 00:00:00", "2035-12-31 23:59:59.999999"
 
 _PIECES = {

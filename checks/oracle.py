@@ -389,3 +389,9 @@ _BODIES["span_context"] = _BODIES["span_context"].replace("without_details_all",
 
 # count_if is a HUGEINT here and a BIGINT in Spark.
 ORACLES = {name: re.sub(r"count_if\(", "count(*) filter (", _with(body)) for name, body in _BODIES.items()}
+
+# The same reports between the times of two rows.
+_EDGES = f"from api where event_id in {fx.BOUND_EVENTS}"
+_RANGE = f"t between (select min(t) {_EDGES}) and (select max(t) {_EDGES})"
+for _name in ("kpis", "events_over_time", "failure_table", "service_health"):
+    ORACLES[f"{_name}_range"] = ORACLES[_name].replace(_IN, _RANGE)

@@ -455,6 +455,33 @@ def cobrand_health(spark, d):
     return _rounded(metrics.cobrand_health(fx.spans(spark, d), START, END), "error_rate")
 
 
+def _bounds(spark, d):
+    """Two times that are rows' own, with other rows before, between and behind them."""
+    log = fx.api_log(spark, d).where(F.col("event_id").isin(*fx.BOUND_EVENTS))
+    t = fn.parse_api_time("event_time")
+    return log.agg(F.min(t), F.max(t)).first()
+
+
+@query
+def kpis_range(spark, d):
+    return _rounded(metrics.kpis(*_both(spark, d), *_bounds(spark, d)), "error_rate", "success_rate", "avg_duration_ms")
+
+
+@query
+def events_over_time_range(spark, d):
+    return metrics.events_over_time(fx.api_facts(spark, d), *_bounds(spark, d))
+
+
+@query
+def failure_table_range(spark, d):
+    return investigate.failure_table(*_both(spark, d), fx.gap_catalog(spark, d), *_bounds(spark, d))
+
+
+@query
+def service_health_range(spark, d):
+    return metrics.service_health(fx.api_facts(spark, d), *_bounds(spark, d))
+
+
 # --- investigation ----------------------------------------------------------------------------------------
 
 

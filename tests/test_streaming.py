@@ -38,3 +38,22 @@ def test_windowed_failures_on_a_stream(spark, folder, rows):
     run.option("checkpointLocation", f"{folder}/checkpoint").start().awaitTermination()
     batch = spark.read.schema(schema).parquet(f"{folder}/in")
     assert rows(spark.table("daily")) == rows(daily_failures(batch, batch))
+
+
+def test_late_rows_are_dropped_and_finished_days_come_once(spark, folder, rows):
+    """Append mode: a day is emitted when the watermark has passed it; what comes later for it is not counted."""
+    schema = "parsed_event_time timestamp_ntz, level string, error_message string"
+    drops = [["01 10:00", "01 11:00", "02 10:00"], ["05 00:00"], ["01 12:00", "05 01:00"], ["09 00:00"], ["09 01:00"]]
+    query = None
+    for i, times in enumerate(drops):
+        df = spark.createDataFrame([(f"2024-01-{t}:00", "error", "e") for t in times], "t string, level string, error_message string")
+        df.select(F.col("t").cast("timestamp_ntz").alias("parsed_event_time"), "level", "error_message").coalesce(1).write.mode(
+            "append"
+        ).parquet(f"{folder}/in")
+        stream = spark.readStream.schema(schema).parquet(f"{folder}/in")
+        counted = daily_failures(stream, stream.where(F.lit(False)), late="1 day")
+        query = counted.writeStream.outputMode("append").format("parquet").option("path", f"{folder}/out")
+        query = query.option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
+        query.awaitTermination()
+    found = [(str(r["day"]), r["source"], r["count"]) for r in rows(spark.read.parquet(f"{folder}/out"))]
+    assert sorted(found) == [("2024-01-01", "API", 2), ("2024-01-02", "API", 1), ("2024-01-05", "API", 2)]
