@@ -223,9 +223,11 @@ _DAILY = f"""select cast(t as date) as day, 'API' as source, count(*) as count f
 
 _BODIES = {
     # sources
-    "ingest_validate": f"""select source_file, 0::bigint as traces, count_if({_GOOD}) as events, count_if({_BAD}) as malformed from api_log group by 1""",
-    "ingest_split": """select source_file, sum(a)::bigint as traces, sum(b)::bigint as events, 0::bigint as malformed from (
-        select source_file, 1 as a, 0 as b from spans0 where depth = 0 union all select source_file, 0, 1 from cob0) group by 1""",
+    "ingest_validate": f"""select source_file, 0::bigint as traces, count_if({_GOOD}) as events, count_if({_BAD}) as malformed,
+        0::bigint as unreadable_ids from api_log group by 1""",
+    "ingest_split": """select source_file, sum(a)::bigint as traces, sum(b)::bigint as events, 0::bigint as malformed,
+        sum(c)::bigint as unreadable_ids from (select source_file, 1 as a, 0 as b, 0 as c from spans0 where depth = 0
+        union all select source_file, 0, 1, cast(user_id = 'n/a' as int) from cob0) group by 1""",
     "ingest_new_files": """select distinct source_file from api_log where cast(regexp_extract(source_file, '-([0-9]{2})[.]log', 1) as int) > 10""",
     "ingest_raw_id": """select *, sha256(source_file || chr(10) || line || chr(10) || occurrence) as raw_id from (
         select source_file, line, row_number() over (partition by source_file, line) as occurrence from (

@@ -276,6 +276,16 @@ def workflow_timeline(explained: DataFrame, id_type: str) -> DataFrame:
     return labelled(numbered.withColumn("step", step).select(*explained.columns, "step"))
 
 
+def workflow_steps(events: DataFrame, spans: DataFrame, catalog: DataFrame, id_type: str, id_value=None) -> DataFrame:
+    """All rows of a request, planner or user, explained, labelled and numbered in time order."""
+    return workflow_timeline(workflow_events(events, spans, catalog, id_type, id_value), id_type)
+
+
+def labelled_failures(events: DataFrame, spans: DataFrame, catalog: DataFrame, start, end, search: str = "") -> DataFrame:
+    """The failure table with header labels; ``page`` shows it page by page."""
+    return labelled(failure_table(events, spans, catalog, start, end, search))
+
+
 def workflow_summary(events: DataFrame, spans: DataFrame, id_type: str, id_value=None) -> DataFrame:
     """Events, failures, first and last time per id, over all of its rows."""
     rows = _stack(_workflow_sides(events, spans, id_type, id_value))

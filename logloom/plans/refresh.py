@@ -6,10 +6,13 @@ run that died is continued by simply running again.
 
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, functions as F
 
 from logloom.constants import DELETED, VALIDATED, VALIDATED_KEPT
 from logloom.operators import archive, catalogs, flatten, gaps, manifest, traces
+from logloom.operators.upsert import upsert
 from logloom.sources import logs
 from logloom.sources.tables import Warehouse
 
@@ -39,16 +42,39 @@ def _new_paths(warehouse: Warehouse, pattern: str, known: DataFrame) -> list[str
 
 
 def load_raw(warehouse: Warehouse, log_type: str, pattern: str) -> list[str]:
-    """Read new log files into the raw table; returns their paths. The text is scanned once."""
-    table = RAW_TABLES[log_type]
+    """Read new log files into the raw table; returns their paths. The text is scanned once.
+
+    If the load fails, the files that can't be read are looked for and noted in ``load_failures``, and the others are
+    loaded; the next refresh tries the noted ones again. A failure that no file explains is raised.
+    """
+    table, spark = RAW_TABLES[log_type], warehouse.spark
     paths = _new_paths(warehouse, pattern, warehouse.read(table))
-    if paths:
-        lines = logs.scan_lines(warehouse.spark, paths, logs.root_of(warehouse.spark, pattern))
-        identified = log_type == "cobrand"
-        warehouse.append(table, logs.raw_table(lines, identified), shuffled=identified)
+    root, identified = logs.root_of(spark, pattern), log_type == "cobrand"
+
+    def load(chosen: list[str]) -> None:
+        if chosen:
+            warehouse.append(table, logs.raw_table(logs.scan_lines(spark, chosen, root), identified), shuffled=identified)
+
+    try:
+        load(paths)
+    except (PySparkException, Py4JError):
+        bad = logs.unreadable_files(spark, paths)
+        if not bad:
+            raise
+        failures = spark.createDataFrame(bad, "path string, reason string")
+        note_failures(warehouse, log_type, failures.select(logs.file_key(root, "path").alias("source_file"), "reason"))
+        paths = [p for p in paths if p not in dict(bad)]
+        load(paths)
     return paths
 
 
+def note_failures(warehouse: Warehouse, log_type: str, failures: DataFrame) -> None:
+    """Keep the newest reason of each file (``source_file``, ``reason``) that couldn't be loaded."""
+    noted = failures.select(F.lit(log_type).alias("log_type"), "source_file", "reason", F.localtimestamp().alias("failed_at"))
+    keys = ("log_type", "source_file")
+    warehouse.replace("load_failures", upsert(warehouse.read("load_failures"), noted, keys, ("reason", "failed_at")))
+
+
 def _names(files: DataFrame) -> list[str]:
     return [row.source_file for row in files.select("source_file").collect()]
 

@@ -7,6 +7,7 @@ report always returns a DataFrame of the same shape.
 from functools import partial
 
 from logloom.operators import catalogs, gaps, investigate, manifest, metrics
+from logloom.sources import logs
 from logloom.sources.tables import Warehouse
 
 _EVENTS, _SPANS = "event_fact_api", "span_fact"
@@ -38,6 +39,8 @@ REPORTS = {
     "user_values": (investigate.user_values, (_EVENTS,)),
     "user_timeline": (investigate.user_timeline, (_EVENTS, _SPANS, _GAPS)),
     "workflow_events": (investigate.workflow_events, (_EVENTS, _SPANS, _GAPS)),
+    "workflow_steps": (investigate.workflow_steps, (_EVENTS, _SPANS, _GAPS)),
+    "labelled_failures": (investigate.labelled_failures, (_EVENTS, _SPANS, _GAPS)),
     "workflow_summary": (investigate.workflow_summary, (_EVENTS, _SPANS)),
     "search_logs": (investigate.search_logs, (_EVENTS, _SPANS, _LOOSE, _GAPS)),
     "coverage_kpis": (catalogs.coverage_kpis, (_CAPABILITIES,)),
@@ -49,6 +52,9 @@ REPORTS = {
     "gap_backlog": (gaps.gap_backlog, (_GAPS,)),
     "signature_patterns": (gaps.signature_patterns, (_GAPS,)),
     "dimension_backlog": (catalogs.dimension_backlog, ("dim_span",)),
+    "api_quality": (logs.quality_report, ("raw_api",)),
+    "cobrand_quality": (logs.quality_report, ("raw_cobrand",)),
+    "load_failures": (lambda failures: failures, ("load_failures",)),
     "last_activity": (manifest.last_activity, ("archive_manifest",)),
     "safe_to_purge": (manifest.safe_to_purge, ("archive_manifest",)),
 }
@@ -69,6 +75,12 @@ class Reports:
     def __dir__(self):
         return [*super().__dir__(), *REPORTS]
 
+    def inventory(self):
+        return self.warehouse.inventory()
+
+    page = staticmethod(investigate.page)
+    last_of = staticmethod(investigate.last_of)
+
     def export_csv(self, rows, path: str) -> None:
         """Save a result as CSV with a header."""
         rows.write.mode("overwrite").option("header", True).csv(path)

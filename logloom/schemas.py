@@ -91,6 +91,8 @@ ARCHIVE_MANIFEST = _schema(
     deleted_at timestamp_ntz, status string, checksum string, notes string"""
 )
 
+LOAD_FAILURES = _schema("log_type string, source_file string, reason string, failed_at timestamp_ntz")
+
 # table -> (schema, partition columns). Tables without partition columns are small
 # registries that are rewritten as a new version; the others grow by partition.
 TABLES = {
@@ -107,6 +109,7 @@ TABLES = {
     "instrumentation_gap_catalog": (INSTRUMENTATION_GAP_CATALOG, ()),
     "dim_span": (DIM_SPAN, ()),
     "archive_manifest": (ARCHIVE_MANIFEST, ()),
+    "load_failures": (LOAD_FAILURES, ()),
 }
 
 

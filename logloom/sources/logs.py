@@ -5,12 +5,16 @@ malformed; later steps select a kind instead of reading the text again.
 """
 
 import re
+from functools import reduce
 from itertools import takewhile
+from operator import add
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from logloom.constants import LINE_WHITESPACE, TRACE_KEY
-from logloom.functions import once, subtree
+from logloom.constants import API_FIELDS, LINE_WHITESPACE, TRACE_KEY
+from logloom.functions import once, record, subtree
 
 TRACE, EVENT, MALFORMED = "trace", "event", "malformed"
 
@@ -18,6 +22,8 @@ TRACE, EVENT, MALFORMED = "trace", "event", "malformed"
 # that the line ended where its document ended (the parser ignores trailing text).
 _END_OF_LINE = "<end of log line>"
 
+_ID_KEYS = [key for name, key, kind in API_FIELDS if kind == "bigint" and name.endswith("_id")]
+
 # Copies of one line that a single task writes out again.
 COPIES_PER_TASK = 65536
 
@@ -137,14 +143,31 @@ def documents(raw: DataFrame) -> DataFrame:
 
 
 def quality_report(raw: DataFrame) -> DataFrame:
-    """Good and malformed lines per file."""
-    return raw.groupBy("source_file").agg(
+    """Per file: good and malformed lines, and ids that are given but no number, which the facts hold as NULL."""
+    ids = record(F.col("doc"), dict.fromkeys(_ID_KEYS, "string"))
+    numbers = record(F.col("doc"), dict.fromkeys(_ID_KEYS, "bigint"))
+    read = raw.select("source_file", "kind", ids.alias("given"), numbers.alias("read"))
+    unreadable = [F.col(f"given.`{k}`").isNotNull() & F.col(f"read.`{k}`").isNull() for k in _ID_KEYS]
+    return read.groupBy("source_file").agg(
         F.count_if(F.col("kind") == TRACE).alias("traces"),
         F.count_if(F.col("kind") == EVENT).alias("events"),
         F.count_if(F.col("kind") == MALFORMED).alias("malformed"),
+        reduce(add, [F.count_if(c) for c in unreadable]).alias("unreadable_ids"),
     )
 
 
+def unreadable_files(spark: SparkSession, paths: list[str]) -> list[tuple[str, str]]:
+    """``(path, reason)`` of the files that can't be read to their end, found by halving the list."""
+    try:
+        spark.read.text(paths).agg(F.count(F.lit(1))).collect()
+        return []
+    except (PySparkException, Py4JError) as error:
+        if len(paths) == 1:
+            return [(paths[0], str(error).strip().splitlines()[0][:500])]
+    half = len(paths) // 2
+    return unreadable_files(spark, paths[:half]) + unreadable_files(spark, paths[half:])
+
+
 def rows_per_file(raw: DataFrame) -> DataFrame:
     return raw.groupBy("source_file").agg(F.count(F.lit(1)).alias("rows")).orderBy("source_file")
 

@@ -8,6 +8,8 @@ so a table is never overwritten while it is being read.
 
 from functools import reduce
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from logloom.constants import EXPORTED_TABLES
@@ -43,6 +45,10 @@ class Warehouse:
         fs, target = self._fs(path)
         return fs.exists(target)
 
+    def _size(self, path: str) -> int:
+        fs, target = self._fs(path)
+        return fs.getContentSummary(target).getLength()
+
     def _versions(self, table: str) -> list[int]:
         """Complete versions of a registry, oldest first."""
         fs, target = self._fs(f"{self.root}/{table}")
@@ -80,8 +86,15 @@ class Warehouse:
         return inventory(frames)
 
     def inventory(self) -> DataFrame:
-        """Row counts of all tables that were written."""
-        return inventory({t: self.read(t) for t in TABLES if self.exists(t)})
+        """Row counts of all tables that were written; NULL for a table that can't be read."""
+        counts = []
+        for table in TABLES:
+            if self.exists(table):
+                try:
+                    counts.append((table, self.read(table).count()))
+                except (PySparkException, Py4JError):
+                    counts.append((table, None))
+        return self.spark.createDataFrame(counts, "table string, rows bigint")
 
     # --- writing -------------------------------------------------------------------------
 
@@ -113,9 +126,13 @@ class Warehouse:
     def export(self, target: str, tables=EXPORTED_TABLES) -> DataFrame:
         """Write the report tables as ZSTD Parquet; missing ones are skipped.
 
-        Returns ``(table, rows)`` of what was written.
+        Returns ``(table, rows, bytes)`` of what was written.
         """
         written = [t for t in tables if self.exists(t)]
         for table in written:
             self.read(table).write.mode("overwrite").option("compression", "zstd").parquet(f"{target}/{table}")
-        return inventory({t: self.spark.read.parquet(f"{target}/{t}") for t in written})
+        if not written:
+            return self.spark.createDataFrame([], "table string, rows bigint, bytes bigint")
+        counts = inventory({t: self.spark.read.parquet(f"{target}/{t}") for t in written})
+        sizes = self.spark.createDataFrame([(t, self._size(f"{target}/{t}")) for t in written], "table string, bytes bigint")
+        return counts.join(sizes, "table")

@@ -1,6 +1,8 @@
 """The whole refresh on hand-written files."""
 
 import glob
+import gzip
+import json
 import os
 
 import pytest
@@ -204,6 +206,44 @@ def test_an_empty_folder_ends_nothing(spark, folder):
     assert warehouse.read("event_fact_api").count() == 0 and warehouse.read("span_fact").count() == 4
 
 
+def test_one_bad_file_does_not_end_the_load(spark, folder, rows):
+    folders = standard(folder)
+    for name, lines in (("good", EVENTS[:2]), ("cut", EVENTS * 500)):
+        text = "\n".join(map(json.dumps, lines)).encode()
+        data = gzip.compress(text)
+        with open(f"{folder}/logs/api/{name}-2026-07-13.log.gz", "wb") as f:
+            f.write(data if name == "good" else data[: len(data) // 2])
+    warehouse = Warehouse(spark, f"{folder}/warehouse")
+    pattern = f"{folder}/logs/api/*"
+    refresh.refresh_api(warehouse, pattern)
+    names = {r["source_file"] for r in rows(warehouse.read("raw_api"), "source_file")}
+    assert names == {"application-2026-07-12.log", "good-2026-07-13.log.gz"}
+    noted = rows(Reports(warehouse).load_failures())
+    assert [(r["log_type"], r["source_file"]) for r in noted] == [("api", "cut-2026-07-13.log.gz")] and noted[0]["reason"]
+    with open(f"{folder}/logs/api/cut-2026-07-13.log.gz", "wb") as f:
+        f.write(gzip.compress(json.dumps(EVENTS[0]).encode()))
+    checksum = f"{folder}/logs/api/.cut-2026-07-13.log.gz.crc"
+    assert not os.path.exists(checksum) and folders
+    refresh.refresh_api(warehouse, pattern)
+    assert warehouse.read("event_fact_api").where("source_file like 'cut%'").count() == 1
+
+
+def test_quality_report_counts_ids_that_are_no_numbers(loaded, rows):
+    found = rows(Reports(loaded[0]).api_quality())
+    assert [(r["events"], r["malformed"], r["unreadable_ids"]) for r in found] == [(5, 1, 1)]
+
+
+def test_inventory_of_a_damaged_table(spark, folder):
+    warehouse = Warehouse(spark, f"{folder}/warehouse")
+    warehouse.replace("event_catalog_api", spark.createDataFrame([("a.b", "a")], "event_action string, event_prefix string"))
+    warehouse.replace("dim_span", warehouse.read("dim_span"))
+    for part in glob.glob(f"{folder}/warehouse/event_catalog_api/version=1/*.parquet"):
+        with open(part, "r+b") as f:
+            f.truncate(10)
+        os.remove(os.path.join(os.path.dirname(part), f".{os.path.basename(part)}.crc"))
+    assert _counts(warehouse) == {"event_catalog_api": None, "dim_span": 0}
+
+
 def test_undated_names_have_an_archive_path(spark, folder, rows):
     names = ["plain.log", "a-b-c.log", "odd name=1%+ü.log", "application-2026-07-12.log"]
     for name in names:
@@ -233,6 +273,8 @@ def test_export_and_views(loaded, spark, folder):
     warehouse = loaded[0]
     written = {r.table: r.rows for r in warehouse.export(f"{folder}/export").collect()}
     assert written == {t: EXPECTED[t] for t in written} and len(written) == 6
+    sizes = {r.table: r.bytes for r in warehouse.export(f"{folder}/export").collect()}
+    assert sizes.keys() == written.keys() and all(n > 0 for n in sizes.values())
     warehouse.register_views()
     assert spark.sql("select count(*) from span_fact").first()[0] == 8
     Reports(warehouse).export_csv(warehouse.read("event_catalog_api"), f"{folder}/csv")
