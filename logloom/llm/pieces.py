@@ -1,6 +1,7 @@
 """SentencePiece encoding and decoding: an Aho-Corasick automaton over the pieces drives one pass of dynamic programming."""
 
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -19,17 +20,23 @@ _SLICE = 1 << 20
 
 
 class Memo(dict):
-    """Ids of a chunk of text as bytes of int32, computed when first asked for; emptied when it has grown too large."""
+    """Ids of a chunk of text as bytes of int32, computed when first asked for.
+
+    When it has grown to ``most`` chunks it begins anew and looks in the last generation first, so that chunks in use stay.
+    """
 
     def __init__(self, compute, most: int = 1 << 18):
         super().__init__()
-        self.compute, self.most = compute, most
+        self.compute, self.most, self.last = compute, most, {}
 
     def __missing__(self, chunk: str) -> bytes:
-        if len(self) >= self.most:
-            self.clear()
-        found = np.array(self.compute(chunk), np.int32).tobytes()
-        if len(chunk) <= 64:
+        found = self.last.get(chunk)
+        if found is None:
+            found = self.compute(chunk)
+        if found is not None and len(chunk) <= 64:
+            if len(self) >= self.most:
+                self.last = dict(self)
+                self.clear()
             self[chunk] = found
         return found
 
@@ -70,7 +77,9 @@ class Pieces:
         pattern = f"{word}{SPACE}*[^{SPACE}{apart}]+|{SPACE}+" + (f"|[{apart}]+" if apart else "")
         self.chunks = re.compile(r"(?s).+" if crossing else pattern).findall
         self.crossing = crossing
-        self.memo = Memo(self.best_path)
+        self.memo = Memo(self._ids)
+        #: Whether some chunk's ids did not spell the chunk (a model without byte pieces has no ids for unknown characters).
+        self.lossy = False
         self.joins: dict[int, bool] = {}
         self.plain = [self._bytes(i, p) for i, p in enumerate(model.pieces)]
 
@@ -82,6 +91,12 @@ class Pieces:
             return " ⁇ ".encode()
         return piece.piece.replace(SPACE, " ").encode() if piece.type == _NORMAL else b""
 
+    def _ids(self, chunk: str) -> bytes:
+        ids = self.best_path(chunk)
+        spelt = b"".join(map(self.plain.__getitem__, ids))
+        self.lossy |= spelt != chunk.replace(SPACE, " ").encode("utf-8", "surrogatepass")
+        return array("i", ids).tobytes()
+
     def best_path(self, chunk: str) -> list[int]:
         """Ids of the best segmentation of a chunk, in one pass over its characters.
 
@@ -170,6 +185,10 @@ class Pieces:
             start = stop
         return b"".join(out)
 
+    def round_trip(self, text: str | None, ids: bytes) -> bool:
+        """Whether the ids decode to the text. Every chunk was spelt when it was encoded; where all were right, so is the whole."""
+        return not self.lossy or self.decode(np.frombuffer(ids, np.int32).tolist()) == (text or "").replace(SPACE, " ")
+
     def decode(self, ids: list[int]) -> str:
         data = b"".join(map(self.plain.__getitem__, ids))
         return data[1:].decode("utf-8", "replace") if self.prefix and data[:1] == b" " else data.decode("utf-8", "replace")
@@ -197,7 +216,7 @@ def encode(df: DataFrame, path: str, text: str = "text", keep: tuple[str, ...] =
         for batch in batches:
             texts = batch.column(0).to_pylist()
             found = [pieces.encode(t) for t in texts]
-            same = [pieces.decode(np.frombuffer(x, np.int32).tolist()) == (t or "").replace(SPACE, " ") for x, t in zip(found, texts)]
+            same = [pieces.round_trip(t, x) for t, x in zip(texts, found)]
             offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in found])]).astype(np.int32)
             ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(found), np.int32)))
             counts = pa.array(np.diff(offsets).astype(np.int64))
