@@ -65,13 +65,14 @@ def op7_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secretscan.find(table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s["kind"] < secretscan.KINDS.index("random"))
-    count = [
-        F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}")
-        for k, name in enumerate(secretscan.KINDS[:3])
-    ]
+
+    def number(kind: int):
+        found = F.size(F.filter("spans", lambda s: s["kind"] == kind))
+        return found.cast("long").alias(f"n_{secretscan.KINDS[kind]}")
+
     return found.select(
         F.col("id").alias("doc_id"),
-        *count,
+        *map(number, range(3)),
         F.sha2(secretscan.listed(base).cast("binary"), 256).alias("base_sha256"),
         secretscan.listed(F.col("spans")).alias("spans"),
     )
@@ -128,16 +129,16 @@ ORACLES: dict[str, str] = {
                 [5, 2, 1][(row_number() over (order by encode(source) nulls last) - 1) % 3 + 1] as weight
             from sizes group by source
         ),
-        -- The level of the water when the sources with the lowest caps by weight are clamped; the lowest level that leaves
-        -- no other source above its cap is the one that clamping round by round reaches.
+        -- The level of the water when the sources with the lowest caps by weight are clamped; the first one that leaves no
+        -- other source above its cap is the one that clamping round by round reaches.
         clamped as (
-            select *, coalesce(sum(cap) over before, 0)::bigint as caps,
+            select *, row_number() over (order by cap / weight, source) as place, coalesce(sum(cap) over before, 0)::bigint as caps,
                 (sum(weight) over () - coalesce(sum(weight) over before, 0))::bigint as free
             from totals window before as (order by cap / weight, source rows between unbounded preceding and 1 preceding)
         ),
         level as (
-            select coalesce(min(l), 0) as l
-            from (select ((select sum(size) from sizes) - caps) / free as l, cap / weight as most from clamped)
+            select coalesce(arg_min(l, place), 0) as l
+            from (select place, ((select sum(size) from sizes) - caps) / free as l, cap / weight as most from clamped)
             where l <= most
         ),
         goals as (
