@@ -215,7 +215,12 @@ _SEARCH_SPANS = """select 'Cobrand' as source, t as event_time, event_action, nu
 _SEARCH_LOOSE = """select 'Cobrand' as source, t as event_time, event_action, level, source_file as service_name, try_cast(user_id as bigint) as user_id,
     request_id, null::bigint as planner_id, message, error_message, error_stack from cob"""
 _API_TEXTS, _SPAN_TEXTS = "message, error_message, error_stack, event_action", "error_message, error_stack, event_action"
-_UPSTREAM = ("upstream", "(select raw_pattern from gap where signature ilike '%upstream%' or raw_pattern ilike '%upstream%')")
+
+
+def _searched(text: str) -> tuple[str, str]:
+    """A search and the patterns that it finds."""
+    return text, f"(select raw_pattern from gap where signature ilike '%{text}%' or raw_pattern ilike '%{text}%')"
+
 
 
 _DAILY = f"""select cast(t as date) as day, 'API' as source, count(*) as count from api where t is not null and level = 'error' group by 1
@@ -366,9 +371,9 @@ _BODIES = {
         union all {_SEARCH_LOOSE} where {_hit(_API_TEXTS, 'message')}""",
     "search_by_ids": f"""select * from ({_SEARCH_API} union all {_SEARCH_SPANS} union all {_SEARCH_LOOSE})
         where user_id = 8 and request_id = 'req-8'""",
-    "search_by_planner": f"{_SEARCH_API} where planner_id = 71 and {_hit(_API_TEXTS, 'message', *_UPSTREAM)}",
-    "search_cobrand": f"""select * from ({_SEARCH_SPANS} where {_hit(_SPAN_TEXTS, 'error_message', *_UPSTREAM)}
-        union all {_SEARCH_LOOSE} where {_hit(_API_TEXTS, 'message', *_UPSTREAM)}) order by {_ordered('desc', _SEARCH_COLUMNS)} limit 300""",
+    "search_by_planner": f"{_SEARCH_API} where planner_id = 71 and {_hit(_API_TEXTS, 'message', *_searched("upstream"))}",
+    "search_cobrand": f"""select * from ({_SEARCH_SPANS} where {_hit(_SPAN_TEXTS, 'error_message', *_searched("not ready"))}
+        union all {_SEARCH_LOOSE} where {_hit(_API_TEXTS, 'message', *_searched("not ready"))}) order by {_ordered('desc', _SEARCH_COLUMNS)} limit 300""",
     # audit
     "reconcile_counts": "select *, json_rows = warehouse_rows and json_rows = parquet_rows as passed from recon",
     "reconcile_cobrand": """select source_file, count(*) as json_rows, count(*) as warehouse_rows, count(*) as parquet_rows, true as passed

@@ -588,7 +588,7 @@ def search_by_planner(spark, d):
 @query
 def search_cobrand(spark, d):
     facts = (*_both(spark, d), fx.cobrand_facts(spark, d), fx.gap_catalog(spark, d))
-    return investigate.search_logs(*facts, search="upstream", source="Cobrand", limit=300)
+    return investigate.search_logs(*facts, search="not ready", source="Cobrand", limit=300)
 
 
 # --- audit ---------------------------------------------------------------------------------------------------

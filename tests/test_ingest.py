@@ -71,8 +71,8 @@ def test_many_copies_are_cut_into_chunks(spark, monkeypatch):
 def test_quality_report_counts_malformed_lines(spark, rows):
     df = _lines(spark, ("a", '{"x":1}'), ("a", "{"), ("b", '{"trace.method":{}}'))
     assert rows(logs.quality_report(logs.parse_lines(df))) == [
-        {"source_file": "a", "traces": 0, "events": 1, "malformed": 1},
-        {"source_file": "b", "traces": 1, "events": 0, "malformed": 0},
+        {"source_file": "a", "traces": 0, "events": 1, "malformed": 1, "unreadable_ids": 0},
+        {"source_file": "b", "traces": 1, "events": 0, "malformed": 0, "unreadable_ids": 0},
     ]
 
 

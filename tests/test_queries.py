@@ -37,7 +37,7 @@ def test_plan_has_no_python_and_no_cartesian_product(spark, name):
 
 
 def test_hot_ids_are_cut_off_before_the_shuffle(spark):
-    plan = QUERIES["user_timeline"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    plan = QUERIES["user_timeline_newest"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
 
 
