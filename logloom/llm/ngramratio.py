@@ -117,6 +117,8 @@ def fit(df: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", text: str = "
     what is summed and what the driver gets has a fixed size. The trusted counts are smoothed by ``prior`` * BUCKETS n-grams
     distributed as in raw text, so an n-gram that little trusted text happens to lack says little. Without trusted n-grams
     the ratio is 0 everywhere.
+
+    ``trusted`` has no size bound, so it is never broadcast: the texts are shuffled by id once, at every size.
     """
     prepare(df.sparkSession)
     rows = df.select(F.col(doc_id).alias("id"), F.col(text).cast("binary").alias("text")).filter("text is not null")
@@ -135,7 +137,7 @@ def fit(df: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", text: str = "
         )
 
     counted = (
-        rows.join(marks, "id", "left")
+        rows.join(marks.hint("merge"), "id", "left")
         .select("text", "trusted")
         .mapInArrow(count, "bucket int, target bigint, raw bigint")
         .groupBy("bucket")
