@@ -91,3 +91,25 @@ def word_chunks(text: bytes, size: int = 1 << 20) -> Iterator[bytes]:
                 stop += 1
         yield text[start:stop]
         start = stop
+
+
+class Memo(dict):
+    """What was computed from a short text, kept for when it comes again.
+
+    When it has grown to ``most`` texts it begins anew and looks in the last generation first, so that texts in use stay.
+    """
+
+    def __init__(self, compute, most: int = 1 << 18):
+        super().__init__()
+        self.compute, self.most, self.last = compute, most, {}
+
+    def __missing__(self, text: str):
+        found = self.last.get(text)
+        if found is None:
+            found = self.compute(text)
+        if found is not None and len(text) <= 64:
+            if len(self) >= self.most:
+                self.last = dict(self)
+                self.clear()
+            self[text] = found
+        return found

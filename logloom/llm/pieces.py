@@ -12,35 +12,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logloom.llm.common import prepare
+from logloom.llm.common import Memo, prepare
 
 SPACE = "▁"
 _NORMAL, _BYTE, _UNIGRAM, _BPE = 1, 6, 1, 2
 _SLICE = 1 << 20
 
 
-class Memo(dict):
-    """Ids of a chunk of text as bytes of int32, computed when first asked for.
-
-    When it has grown to ``most`` chunks it begins anew and looks in the last generation first, so that chunks in use stay.
-    """
-
-    def __init__(self, compute, most: int = 1 << 18):
-        super().__init__()
-        self.compute, self.most, self.last = compute, most, {}
-
-    def __missing__(self, chunk: str) -> bytes:
-        found = self.last.get(chunk)
-        if found is None:
-            found = self.compute(chunk)
-        if found is not None and len(chunk) <= 64:
-            if len(self) >= self.most:
-                self.last = dict(self)
-                self.clear()
-            self[chunk] = found
-        return found
-
-
 class Pieces:
     """A model's pieces and the automaton over them. Models must leave texts as they are (identity normalisation)."""
 

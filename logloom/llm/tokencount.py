@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logloom.llm.common import blocks, prepare
+from logloom.llm.common import Memo, blocks, prepare
 
 # Character classes of the splitting pattern
 #   's|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+
@@ -174,6 +174,8 @@ class Vocabulary:
         self.tokens = {raw(t) for t in spec["model"]["vocab"] if t not in special}
         self.prefixes = {t[:k] for t in self.tokens for k in range(len(t))}
         self.joins: dict[tuple[bytes, bytes], bool] = {}
+        #: Tokens of a stretch: the composed transition from the start over all of its bytes.
+        self.counts = Memo(self.count)
         self.clear()
 
     def clear(self) -> None:
@@ -182,10 +184,9 @@ class Vocabulary:
         # up to there and the number of tokens up to there, relative to here.
         start = (b"", ((None, 0),))
         self.numbers, self.states, self.moves = {start: 0}, [start], {}
-        self.counts: dict[str, int] = {}
 
     def count(self, stretch: str) -> int:
-        """Tokens of a stretch: the sum of the annotations along its bytes, kept as one transition."""
+        """Tokens of a stretch: the sum of the annotations along its bytes."""
         state = total = 0
         moves = self.moves
         for byte in stretch.encode("utf-8", "replace"):
@@ -240,7 +241,7 @@ class Vocabulary:
         """Keep what is compiled from growing with the input."""
         if len(self.joins) > 1 << 19:
             self.joins.clear()
-        if len(self.moves) > 1 << 19 or len(self.counts) > 1 << 18:
+        if len(self.moves) > 1 << 19:
             self.clear()
 
     def count_texts(self, texts: list[str]) -> list[int]:
@@ -264,15 +265,7 @@ class Vocabulary:
             return extra
         cuts = [*at.tolist(), len(joined)]
         found = [joined[a:b] for a, b in zip(cuts, cuts[1:])]
-        known = self.counts
-        numbers = np.zeros(len(found), np.int64)
-        for k, stretch in enumerate(found):
-            n = known.get(stretch)
-            if n is None:
-                n = self.count(stretch)
-                if len(stretch) <= 64:
-                    known[stretch] = n
-            numbers[k] = n
+        numbers = np.fromiter(map(self.counts.__getitem__, found), np.int64, len(found))
         self.bound()
         of = np.array(owner)[np.searchsorted(ends, at, "right")]
         return (np.bincount(of, numbers, len(texts)).astype(np.int64) + np.array(extra)).tolist()
