@@ -92,21 +92,21 @@ def _mark_repeats(seen: np.ndarray, data: np.ndarray, base: np.ndarray) -> None:
 
 def descend(index: list[np.ndarray], signs: np.ndarray, ratios: np.ndarray, cost: float, epochs: int, seed: int):
     """Weights and bias of min |w|^2 / 2 + cost * sum(hinge), one coordinate of the dual at a time, in seeded orders."""
-    values = []
-    for i in index:
-        v = ratios[i]
-        values.append(v / max(np.sqrt(v @ v), 1e-6))
+    # Values are taken from the ratios when a row's turn comes; only the buckets of the sample are held.
+    squares = ratios**2
+    norms = np.array([max(np.sqrt(squares[i].sum()), 1e-6) for i in index])
     weights, bias, alpha = np.zeros(DIMENSIONS), 0.0, np.zeros(len(index))
-    curvature = np.array([v @ v + 1.0 for v in values])
+    curvature = np.array([squares[i].sum() / n**2 + 1.0 for i, n in zip(index, norms)])
     order = np.random.default_rng(seed)
     for _ in range(epochs):
         worst = 0.0
         for i in order.permutation(len(index)):
-            gradient = signs[i] * (weights[index[i]] @ values[i] + bias) - 1.0
+            values = ratios[index[i]] / norms[i]
+            gradient = signs[i] * (weights[index[i]] @ values + bias) - 1.0
             moved = min(max(alpha[i] - gradient / curvature[i], 0.0), cost)
             step = (moved - alpha[i]) * signs[i]
             if step:
-                weights[index[i]] += step * values[i]
+                weights[index[i]] += step * values
                 bias += step
                 alpha[i] = moved
                 worst = max(worst, abs(step))
@@ -207,7 +207,7 @@ def fit(
     def solve(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("id", kind="stable")
         model = fit_rows(
-            [np.frombuffer(g, "<u2").astype(np.int64) for g in frame["grams"]], frame["label"].to_numpy(), smoothing, cost, epochs, seed
+            [np.frombuffer(g, "<u2") for g in frame["grams"]], frame["label"].to_numpy(), smoothing, cost, epochs, seed
         )
         return pd.DataFrame(
             [[model.ratios.tobytes(), model.weights.tobytes(), model.bias, model.slope, model.offset]],
