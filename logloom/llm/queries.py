@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logloom.llm import langmix, mixing, nbsvm, ngramratio, pieces, secretscan, simhash, tokencount, urlrules, vectors
+from logloom.llm import langmix, mixing, nbsvm, negatives, ngramratio, pieces, secretscan, simhash, tokencount, urlrules, vectors, whitening
 from logloom.llm.common import held_out, table
 
 
@@ -104,6 +104,31 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "page_id")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``deviation`` is null where a long can't hold it (from some ten million vectors on); ``deviation_exact`` holds it always."""
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"), components=32, scale=64, shift=1_000_000, weights="count")
+    return found.select(
+        F.col("id").alias("vec_id"),
+        "component",
+        "n",
+        F.expr("try_cast(deviation as bigint)").alias("deviation"),
+        "whitened",
+        "explained",
+        "identity_error",
+        F.col("deviation").alias("deviation_exact"),
+    )
+
+
+def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Anchors are the rows whose id is divisible by 50; where it is divisible by 7, the label moves on by one of ten first.
+
+    Null ids are no anchors and keep their label; other cases as ``negatives.mine`` states them.
+    """
+    vec_id = F.col("vec_id")
+    label = F.when(vec_id % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, sf_dir, "embeddings").withColumn("label", label), vec_id % 50 == 0)
+
+
 QUERIES = {
     "op1_language": op1_language,
     "op2_simhash": op2_simhash,
@@ -115,6 +140,8 @@ QUERIES = {
     "op8_secrets": op8_secrets,
     "op9_vectors": op9_vectors,
     "op10_urls": op10_urls,
+    "op11_whitening": op11_whitening,
+    "op13_negatives": op13_negatives,
 }
 
 #: DuckDB SQL of the queries that SQL can express. The others are held against plain Python in the tests.
@@ -156,4 +183,29 @@ ORACLES: dict[str, str] = {
             (size * (whole + case when rest > 0 and before + size / 2 <= rest then 1 else 0 end))::bigint as taken
         from placed
     """,
+    "op13_negatives": """
+        with fit as (
+            select row_number() over () as r, vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+                list_transform(embedding, lambda c: floor(256 * c::double)) as x
+            from embeddings
+            where label is not null and embedding is not null
+                and len(list_filter(embedding, lambda c: c is null or not isfinite(c))) = 0
+        ),
+        pairs as (
+            select a.r as anchor, a.vec_id as anchor_id, a.label as own, b.r as other, b.vec_id, b.label,
+                list_inner_product(a.x, b.x)::bigint as score
+            from fit a join fit b on len(a.x) = len(b.x) and a.r <> b.r
+            where a.vec_id % 50 = 0
+        ),
+        positives as (
+            select * from pairs where label = own
+            qualify row_number() over (partition by anchor order by score desc, vec_id nulls last) <= 5
+        )
+        select p.anchor_id, p.vec_id as positive_id,
+            (row_number() over (partition by p.anchor, p.other order by n.score desc, n.vec_id nulls last))::int as rank,
+            n.vec_id as negative_id, p.score as positive_score, n.score as negative_score
+        from positives p join pairs n on n.anchor = p.anchor and n.label <> n.own
+            and 50 * p.score <= 100 * n.score and 100 * n.score <= 95 * p.score
+        qualify rank <= 3
+    """,
 }
