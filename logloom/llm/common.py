@@ -57,10 +57,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def held_out(doc_id: str | Column) -> Column:
-    """True where crc32 of the id as text is divisible by 5. A row without an id is never learned from: true."""
+def held_out(doc_id: str | Column, remainder: int = 0) -> Column:
+    """True where crc32 of the id as text leaves that remainder by 5. A row without an id is never learned from: true."""
     column = F.col(doc_id) if isinstance(doc_id, str) else doc_id
-    return F.coalesce(F.crc32(column.cast("string").cast("binary")) % 5 == 0, F.lit(True))
+    return F.coalesce(F.crc32(column.cast("string").cast("binary")) % 5 == remainder, F.lit(True))
 
 
 def n_words(text: Column) -> Column:

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logloom.llm import langmix, mixing, nbsvm, negatives, ngramratio, pieces, secretscan, simhash, tokencount, urlrules, vectors, whitening
+from logloom.llm import langmix, mixing, nbsvm, negatives, ngramlm, ngramratio, pieces, secretscan, simhash, tokencount, urlrules, vectors, whitening
 from logloom.llm.common import held_out, table
 
 
@@ -119,6 +119,14 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learned from the documents that are not held out; cases as ``ngramlm.score`` states them."""
+    found = ngramlm.score(table(spark, sf_dir, "documents"), ~held_out("doc_id", 1))
+    return found.select(
+        F.col("id").alias("doc_id"), held_out("id", 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Anchors are the rows whose id is divisible by 50; where it is divisible by 7, the label moves on by one of ten first.
 
@@ -141,6 +149,7 @@ QUERIES = {
     "op9_vectors": op9_vectors,
     "op10_urls": op10_urls,
     "op11_whitening": op11_whitening,
+    "op12_lm": op12_lm,
     "op13_negatives": op13_negatives,
 }
 
