@@ -17,7 +17,7 @@ from logloom.llm.common import prepare, stored, word_chunks
 from logloom.llm.eliasfano import Trie, dequantise
 
 #: Text of a block, and tokens of a shard: what a task holds at once, whatever the size of the corpus.
-BLOCK_BYTES, SHARD_TOKENS = 12 << 20, 1 << 21
+BLOCK_BYTES, SHARD_TOKENS = 24 << 20, 1 << 21
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _END, _BEGIN, _NONE = 0, 0, -1  # local number of the closing token; ids of the opening one and of no word or an unknown one
 
@@ -58,21 +58,28 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 def _distinct(*columns: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-    """Distinct rows in rising order, and each row's place among them. Values are ranked first, so that a row is one number."""
-    ranked, values = [], []
-    for c in columns:
-        v, r = np.unique(c, return_inverse=True)
-        values.append(v)
-        ranked.append(r.astype(np.int64))
-    code, size = ranked[0], max(len(values[0]), 1)
-    keys = None
-    for v, r in zip(values[1:], ranked[1:]):
-        if size * max(len(v), 1) >= 1 << 62:
-            keys, code = np.unique(code, return_inverse=True)
-            size = max(len(keys), 1)
-        code, size = code * max(len(v), 1) + r, size * max(len(v), 1)
-    _, first, inverse = np.unique(code, return_index=True, return_inverse=True)
-    return [c[first] for c in columns], inverse.reshape(-1)
+    """Distinct rows in rising order, and each row's place among them. A row becomes one number; where values are too large for
+    that, they are replaced by their ranks first."""
+    columns, values = list(columns), [None] * len(columns)
+    low = [int(c.min()) if len(c) else 0 for c in columns]
+    sizes = [int(c.max()) - m + 1 if len(c) else 1 for c, m in zip(columns, low)]
+    for i in range(len(columns)):
+        if math.prod(sizes) >= 1 << 62:
+            values[i], columns[i] = np.unique(columns[i], return_inverse=True)
+            low[i], sizes[i] = 0, len(values[i])
+    if math.prod(sizes) >= 1 << 62:
+        raise ValueError("too many different values in one block")
+    code = np.zeros(len(columns[0]), np.int64)
+    for c, m, size in zip(columns, low, sizes):
+        code *= size
+        code += c
+        code -= m
+    code, inverse = np.unique(code, return_inverse=True)
+    out = []
+    for v, m, size in zip(values[::-1], low[::-1], sizes[::-1]):
+        code, c = np.divmod(code, size)
+        out.append(c + m if v is None else v[c])
+    return out[::-1], inverse.reshape(-1)
 
 
 def _summed(inverse: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
@@ -81,7 +88,7 @@ def _summed(inverse: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
 
 
 def tokenised(df: DataFrame, doc_id: str, text: str, train: Column) -> DataFrame:
-    """Blocks of texts as one row each: ids, token numbers within the block, digests and training counts of its words; written."""
+    """Blocks of texts as one row each: ids, token numbers within the block, and digests (in rising order) and training counts of its words; written."""
     chosen = df.select(
         F.col(doc_id).alias("id"), F.coalesce(F.col(text).cast("binary"), F.lit(b"")).alias("text"), F.coalesce(train, F.lit(False)).alias("train")
     )
@@ -92,12 +99,15 @@ def tokenised(df: DataFrame, doc_id: str, text: str, train: Column) -> DataFrame
         learned = np.repeat(np.array(train, bool), sizes)
         counts = np.bincount(tokens[learned], minlength=len(words) + 1).astype(np.int64)
         digests = np.frombuffer(b"\0" * 16 + b"".join(map(xxhash.xxh3_128_digest, words)), "<u8").reshape(-1, 2)
+        order = np.argsort(digests[:, 0], kind="stable")
+        digests = digests[order]
         row = {
             "block": pa.array([(TaskContext.get().partitionId() << 32) + number], pa.int64()),
             "ids": pa.array([ids], pa.list_(kind)),
             "sizes": pa.array([packed(sizes, np.array(train, np.int8))]),
             "tokens": pa.array([packed(tokens)]),
-            "words": pa.array([packed(digests[:, 0], digests[:, 1], counts)]),
+            "order": pa.array([packed(order.astype(np.uint32))]),
+            "words": pa.array([packed(digests[:, 0], digests[:, 1].astype(np.uint32), counts[order])]),
             "n_tokens": pa.array([len(tokens)], pa.int64()),
             "n_learned": pa.array([sum(train)], pa.int64()),
         }
@@ -126,7 +136,7 @@ def tokenised(df: DataFrame, doc_id: str, text: str, train: Column) -> DataFrame
         [
             T.StructField("block", T.LongType()),
             T.StructField("ids", T.ArrayType(chosen.schema["id"].dataType)),
-            *(T.StructField(n, T.BinaryType()) for n in ("sizes", "tokens", "words")),
+            *(T.StructField(n, T.BinaryType()) for n in ("sizes", "tokens", "order", "words")),
             T.StructField("n_tokens", T.LongType()),
             T.StructField("n_learned", T.LongType()),
         ]
@@ -144,26 +154,28 @@ def _vocabulary(blocks: DataFrame, shards: int) -> DataFrame:
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for number, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                high, low, counts = unpacked(data, "<u8", "<u8", "<i8")
-                shard = (low % np.uint64(shards)).astype(np.int64)
-                order = np.argsort(shard, kind="stable")
-                cuts = np.flatnonzero(np.diff(shard[order], prepend=-1, append=shards))
-                parts = [order[a:b] for a, b in zip(cuts, cuts[1:])]
+                first, second, counts = unpacked(data, "<u8", "<u4", "<i8")
+                shard = ((first >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
+                cuts = np.flatnonzero(np.diff(shard, prepend=-1, append=shards))
+                parts = [slice(a, b) for a, b in zip(cuts, cuts[1:])]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([shard[p[0]] for p in parts], pa.int32()),
+                        pa.array([shard[p.start] for p in parts], pa.int32()),
                         pa.array([number] * len(parts), pa.int64()),
-                        pa.array([packed(high[p], low[p], counts[p]) for p in parts], pa.binary()),
+                        pa.array([packed(first[p], second[p], counts[p]) for p in parts], pa.binary()),
                     ],
                     ["shard", "block", "words"],
                 )
 
     def merge(table: pa.Table) -> pa.Table:
         shard, numbers = table["shard"][0].as_py(), table["block"].to_pylist()
-        parts = [unpacked(d.as_py(), "<u8", "<u8", "<i8") for d in table["words"]]
-        high, low, counts = (np.concatenate(c) for c in zip(*parts))
-        (first, _), inverse = _distinct(high, low)
-        total = _summed(inverse, counts, len(first))
+        parts = [unpacked(d.as_py(), "<u8", "<u4", "<i8") for d in table["words"]]
+        first, second, counts = (np.concatenate(c) for c in zip(*parts))
+        by_digest = np.lexsort((second, first))
+        new = (np.diff(first[by_digest], prepend=first[:1]) != 0) | (np.diff(second[by_digest], prepend=second[:1]) != 0)
+        inverse = np.empty(len(first), np.int64)
+        inverse[by_digest] = np.cumsum(new)
+        total = _summed(inverse, counts, int(new.sum()) + 1)
         rank = np.empty(len(total), np.int64)
         rank[np.argsort(-total, kind="stable")] = np.arange(len(total))
         ids = np.where(total > 0, rank * shards + shard + 1, _NONE)
@@ -183,13 +195,11 @@ def _vocabulary(blocks: DataFrame, shards: int) -> DataFrame:
     return stored(dealt.groupBy("shard").applyInArrow(merge, "block long, shard int, ids binary, figures array<long>"), "word-replies")
 
 
-def _words_of(block: dict, replies: dict[int, bytes], shards: int) -> tuple[np.ndarray, np.ndarray]:
-    """Id and count of each word of a block, put together from the replies of the shards."""
-    low = unpacked(block["words"], "<u8", "<u8", "<i8")[1]
-    shard = (low % np.uint64(shards)).astype(np.int64)
-    order = np.argsort(shard, kind="stable")
-    ids, counts = np.empty(len(low), np.int64), np.empty(len(low), np.int64)
+def _words_of(block: dict, replies: dict[int, bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Id and count of each word of a block by its number, put together from the replies; shards and digests rise alike."""
+    order = unpacked(block["order"], "<u4")[0]
     found = [unpacked(replies[s], "<i8", "<i8") for s in sorted(replies)]
+    ids, counts = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
     ids[order], counts[order] = (np.concatenate(c) for c in zip(*found))
     return ids, counts
 
@@ -197,46 +207,54 @@ def _words_of(block: dict, replies: dict[int, bytes], shards: int) -> tuple[np.n
 def _asked(block: dict, ids: np.ndarray, counts: np.ndarray, shards: int, learned: int):
     """What a block has to know of the model: ``(u, v, w)`` of each token v, its predecessor and its successor, distinct, by shard.
 
-    Returns the distinct rows, their shards, each token's place among the rows, and the number of training tokens of each row.
-    A shard is known by its first word; a first word with more tokens than a shard takes is dealt by its second word as
-    well, in shards of their own above the others.
+    Returns the distinct rows with the count of u, their shards, each token's place among the rows, and the number of training tokens of each row.
+    A shard is known by its first word. A first word with more tokens than a shard takes is dealt by its second word as
+    well, in shards of their own above the others; a row (u, none, none) goes to each of them for the part of u's weight there.
     """
     sizes, train = unpacked(block["sizes"], "<i8", "<i1")
-    tokens = unpacked(block["tokens"], "<u4")[0]
+    tokens = unpacked(block["tokens"], "<u4")[0].astype(np.int64)
     ends = np.cumsum(sizes)
-    v = ids[tokens]
-    u = np.concatenate([[_BEGIN], v[:-1]])
-    u[ends[:-1]] = _BEGIN
-    w = np.append(v[1:], _NONE)
-    w[ends - 1] = _NONE
-    c = np.concatenate([[learned], counts[tokens[:-1]]])
-    c[ends[:-1]] = learned
-    # Behind an unknown word nothing is known.
-    w = np.where(v == _NONE, _NONE, w)
-    (u, v, w), inverse = _distinct(u, v, w)
-    split = np.ones(len(u), np.int64)
-    split[inverse] = -(-c // SHARD_TOKENS)
-    split = np.maximum(split, 1)
-    part = (_mixed(v) % split.astype(np.uint64)).astype(np.int64)
-    shard = (_mixed(u * 1_000_003 + part) % np.uint64(shards)).astype(np.int64) + np.where(split > 1, shards, 0)
-    # Nothing follows an unknown word, so no shard is asked.
-    shard[u == _NONE] = 2 * shards
+    # Numbers within the block stand for ids; unknown words share one, and two more are for no word and for the beginning.
+    none, begin = len(ids), len(ids) + 1
+    tokens = np.where(ids == _NONE, none, np.arange(len(ids)))[tokens]
+    ids, counts = np.append(ids, [_NONE, _BEGIN]), np.append(counts, [0, learned])
+    u = np.concatenate([[begin], tokens[:-1]])
+    u[ends[:-1]] = begin
+    # Nothing is known behind an unknown word.
+    w = np.where(tokens == none, none, np.append(tokens[1:], none))
+    w[ends - 1] = none
+    (u, v, w), inverse = _distinct(u, tokens, w)
+    n = _summed(inverse, np.repeat(train, sizes), len(u))
+    split = np.maximum(-(-counts // SHARD_TOKENS), 1)
+
+    def shard_of(u: np.ndarray, part: np.ndarray) -> np.ndarray:
+        here = (_mixed(ids[u] * 1_000_003 + part) % np.uint64(shards)).astype(np.int64)
+        # No shard is asked for what follows an unknown word.
+        return np.where(u == none, 2 * shards, here + np.where(split[u] > 1, shards, 0))
+
+    shard = shard_of(u, (_mixed(ids[v]) % split[u].astype(np.uint64)).astype(np.int64))
+    hot = np.unique(u[(split[u] > 1) & (u != none)])
+    words = np.repeat(hot, split[hot])
+    part = np.arange(len(words)) - np.repeat(np.cumsum(split[hot]) - split[hot], split[hot])
+    (extra, extra_shard), _ = _distinct(words, shard_of(words, part))
+    known = len(u)
+    u, v, w = (np.concatenate(c) for c in ((u, extra), (v, np.full(len(extra), none)), (w, np.full(len(extra), none))))
+    n, shard = np.append(n, np.zeros(len(extra), np.int64)), np.append(shard, extra_shard)
     order = np.argsort(shard, kind="stable")
     place = np.empty(len(u), np.int64)
     place[order] = np.arange(len(u))
-    inverse = place[inverse]
-    learned_here = _summed(inverse, np.repeat(train, sizes), len(u))
-    return (u[order], v[order], w[order]), shard[order], inverse, learned_here
+    rows = ids[u[order]], ids[v[order]], ids[w[order]], counts[u[order]]
+    return rows, shard[order], place[inverse], place[known:], n[order]
 
 
 def _requests(blocks: DataFrame, replies: DataFrame, shards: int, learned: int) -> DataFrame:
-    """``(shard, block, rows)``: the distinct (u, v, w) that a block asks a shard for, with their training counts; written."""
+    """``(shard, block, rows)``: the distinct (u, v, w) that a block asks a shard for, with their training counts."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         shard_of, number_of, data = [], [], []
         for block in left.to_pylist():
             known = dict(zip(right["shard"].to_pylist(), right["ids"].to_pylist()))
-            rows, shard, _, n = _asked(block, *_words_of(block, known, shards), shards, learned)
+            rows, shard, _, _, n = _asked(block, *_words_of(block, known), shards, learned)
             cuts = np.searchsorted(shard, np.arange(2 * shards + 1))
             for s in np.flatnonzero(np.diff(cuts)):
                 at = slice(cuts[s], cuts[s + 1])
@@ -245,46 +263,9 @@ def _requests(blocks: DataFrame, replies: DataFrame, shards: int, learned: int)
                 data.append(packed(*(c[at] for c in rows), n[at]))
         return pa.table({"shard": pa.array(shard_of, pa.int32()), "block": pa.array(number_of, pa.int64()), "rows": pa.array(data, pa.binary())})
 
-    sent = blocks.select("block", "sizes", "tokens", "words").groupBy("block")
+    sent = blocks.select("block", "sizes", "tokens", "order").groupBy("block")
     back = replies.filter("block is not null").select("block", "shard", "ids").groupBy("block")
-    return stored(sent.cogroup(back).applyInArrow(run, "shard int, block long, rows binary"), "ngram-requests")
-
-
-def _counted(requests: DataFrame, shards: int) -> DataFrame:
-    """Bigrams and trigrams of each shard with their counts over all training texts, how many occur once and twice, and the tokens and
-    types behind those first words of which the shard has a part only; written."""
-
-    def merge(table: pa.Table) -> pa.Table:
-        shard = table["shard"][0].as_py()
-        parts = []
-        for data in table["rows"]:
-            columns = unpacked(data.as_py(), "<i8", "<i8", "<i8", "<i8")
-            seen = columns[3] > 0
-            parts.append([c[seen] for c in columns])
-        u, v, w, n = (np.concatenate(c) for c in zip(*parts))
-        (u2, v2), inverse = _distinct(u, v)
-        n2 = _summed(inverse, n, len(u2))
-        whole = w != _NONE
-        (u3, v3, w3), inverse = _distinct(u[whole], v[whole], w[whole])
-        n3 = _summed(inverse, n[whole], len(u3))
-        figures = [int((n2 == 1).sum()), int((n2 == 2).sum()), int((n3 == 1).sum()), int((n3 == 2).sum())]
-        parts = []
-        if shard >= shards:
-            first, inverse = np.unique(u2, return_inverse=True)
-            total, types = _summed(inverse, n2, len(first)), np.bincount(inverse, minlength=len(first))
-            parts = [{"word": int(a), "total": int(b), "types": int(c)} for a, b, c in zip(first, total, types)]
-        return pa.table(
-            {
-                "shard": pa.array([shard], pa.int32()),
-                "second": pa.array([packed(u2, v2, n2)], pa.binary()),
-                "third": pa.array([packed(u3, v3, w3, n3)], pa.binary()),
-                "figures": pa.array([figures], pa.list_(pa.int64())),
-                "parts": pa.array([parts], pa.list_(pa.struct([("word", pa.int64()), ("total", pa.int64()), ("types", pa.int64())]))),
-            }
-        )
-
-    schema = "shard int, second binary, third binary, figures array<long>, parts array<struct<word:long,total:long,types:long>>"
-    return stored(requests.select("shard", "rows").groupBy("shard").applyInArrow(merge, schema), "ngram-counts")
+    return sent.cogroup(back).applyInArrow(run, "shard int, block long, rows binary")
 
 
 def discount(once: int, twice: int) -> float:
@@ -292,75 +273,74 @@ def discount(once: int, twice: int) -> float:
     return min(max(once / (once + 2 * twice), 0.1), 0.9) if once + twice else 0.5
 
 
-def _tries(counted: DataFrame, discounts: list[float]) -> DataFrame:
-    """A trie per shard; written."""
-    parts = counted.select("shard", F.inline("parts"))
-    totals = parts.groupBy("word").agg(F.sum("total").alias("total"), F.sum("types").alias("types"))
-    whole = parts.select("shard", "word").join(totals, "word").groupBy("shard").agg(F.collect_list(F.struct("word", "total", "types")).alias("totals"))
-    d2, d3 = discounts
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for row in batch.to_pylist():
-                u2, v2, n2 = unpacked(row["second"], *["<i8"] * 3)
-                u3, v3, w3, n3 = unpacked(row["third"], *["<i8"] * 4)
-                first, inverse = np.unique(u2, return_inverse=True)
-                total, types = _summed(inverse, n2, len(first)), np.bincount(inverse, minlength=len(first))
-                for t in row["totals"] or []:
-                    at = np.searchsorted(first, t["word"])
-                    total[at], types[at] = t["total"], t["types"]
-                pairs = Trie.pairs(np.stack([u2, v2], 1), np.stack([u3, v3], 1))
-                total_2 = _summed(pairs, n3, len(u2))
-                types_2 = np.bincount(pairs, minlength=len(u2))
-                p = {
-                    "weight_1": d2 * types / np.maximum(total, 1),
-                    "p_2": (n2 - d2) / np.maximum(total[inverse], 1),
-                    "weight_2": d3 * types_2 / np.maximum(total_2, 1),
-                    "p_3": (n3 - d3) / np.maximum(total_2[pairs], 1),
-                }
-                out.append(Trie.build(np.stack([u2, v2], 1), np.stack([u3, v3, w3], 1), p))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["shard", "trie"])
-
-    joined = counted.select("shard", "second", "third").join(whole, "shard", "left")
-    return stored(joined.mapInArrow(run, "shard int, trie binary"), "ngram-tries")
-
-
-def _answered(requests: DataFrame, tries: DataFrame) -> DataFrame:
-    """``(block, shard, codes)``: the quantised logarithms that a shard's trie has for a block's rows; written."""
-
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        codes = []
-        if len(left):
-            # The levels are views of the bytes that Spark handed over; nothing is unpacked.
-            trie = Trie.view(right["trie"].combine_chunks()[0].as_buffer()) if len(right) else None
-            for data in left["rows"]:
-                u, v, w, _ = unpacked(data.as_py(), *["<i8"] * 4)
-                found = trie.look_up(np.stack([u, v, w], 1)) if trie else dict.fromkeys(Trie.CODES, np.zeros(len(u), np.uint16))
-                codes.append(packed(*(found[name] for name in Trie.CODES)))
-        return pa.table({"block": left["block"], "shard": left["shard"], "codes": pa.array(codes, pa.binary())})
-
-    answered = requests.groupBy("shard").cogroup(tries.groupBy("shard")).applyInArrow(run, "block long, shard int, codes binary")
-    return stored(answered, "ngram-answers")
-
+def _trie(u: np.ndarray, v: np.ndarray, w: np.ndarray, total: np.ndarray, n: np.ndarray, whole: bool, discounts) -> bytes:
+    """The trie of a shard's distinct rows with their training counts; ``total`` is the count of u where the shard isn't ``whole``."""
+    seen = n > 0
+    u, v, w, total, n = (c[seen] for c in (u, v, w, total, n))
+    (u2, v2), inverse = _distinct(u, v)
+    n2, most = _summed(inverse, n, len(u2)), np.zeros(len(u2), np.int64)
+    most[inverse] = total
+    more = w != _NONE
+    third, n3 = np.stack([u[more], v[more], w[more]], 1), n[more]
+    d2, d3 = discounts or (discount(int((c == 1).sum()), int((c == 2).sum())) for c in (n2, n3))
+    first, of = np.unique(u2, return_inverse=True)
+    total_1, types_1 = _summed(of, n2, len(first)), np.bincount(of, minlength=len(first))
+    if not whole:
+        total_1[of] = most
+    second = np.stack([u2, v2], 1)
+    pairs = Trie.pairs(second, third)
+    total_2, types_2 = _summed(pairs, n3, len(u2)), np.bincount(pairs, minlength=len(u2))
+    p = {
+        "weight_1": d2 * types_1 / np.maximum(total_1, 1),
+        "p_2": (n2 - d2) / np.maximum(total_1[of], 1),
+        "weight_2": d3 * types_2 / np.maximum(total_2, 1),
+        "p_3": (n3 - d3) / np.maximum(total_2[pairs], 1),
+    }
+    return Trie.build(second, third, p)
+
+
+def _answered(requests: DataFrame, shards: int, discounts) -> DataFrame:
+    """``(block, shard, codes)``: the quantised logarithms that a shard's trie has for a block's rows.
+
+    A shard counts the rows of all blocks, builds its trie and asks it for each distinct row once.
+    """
 
-def score(df: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    def run(table: pa.Table) -> pa.Table:
+        parts = [unpacked(d.as_py(), *["<i8"] * 5) for d in table["rows"]]
+        ends = np.cumsum([len(p[0]) for p in parts])
+        u, v, w, total, n = (np.concatenate(c) for c in zip(*parts))
+        del parts
+        rows, inverse = _distinct(u, v, w)
+        totals = np.zeros(len(rows[0]), np.int64)
+        totals[inverse] = total
+        data = _trie(*rows, totals, _summed(inverse, n, len(totals)), table["shard"][0].as_py() < shards, discounts)
+        found = Trie.view(data).look_up(np.stack(rows, 1))
+        codes = [packed(*(found[name][i] for name in Trie.CODES)) for i in np.split(inverse, ends[:-1])]
+        return pa.table({"block": table["block"], "shard": table["shard"], "codes": pa.array(codes, pa.binary())})
+
+    return requests.groupBy("shard").applyInArrow(run, "block long, shard int, codes binary")
+
+
+def score(
+    df: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "text", discounts: tuple[float, float] | None = None
+) -> DataFrame:
     """``(id, n_tokens, n_known, train_tokens, base_score, score)`` of every row of ``df``.
 
     A-Z are lower-cased; tokens are the words between white space and one closing token. Learned are the rows where ``train`` holds.
     ``base_score`` is the sum of log10((c + 0.5) / (N + 0.5 (V + 1))) with the training count c of each token. ``score`` is the log10 probability
     of the text by an interpolated trigram model with absolute discounting: what a discount takes off the seen n-grams of a
-    context goes to the next shorter context, that of single words to V known words and one unknown word alike. Probabilities
+    context goes to the next shorter context, that of single words to V known words and one unknown word alike. The discounts of
+    bigrams and trigrams are estimated for each shard of first words, or given as ``discounts``. Probabilities
     are kept as 16-bit logarithms (steps of 1/4096), so a token's is within 0.03 % of the unrounded one at each order.
 
     Every count covers all training texts. Texts are read in blocks; a block asks shards of words for ids and counts, and shards of
-    first words for n-grams, each shard being counted, turned into a trie and searched by one task that holds a bounded share of the
+    first words for n-grams. A shard is counted, turned into a trie and searched by one task that holds a bounded share of the
     corpus. A first word with more tokens than that is dealt by its second word. No model is broadcast. What stays with one
     task at any size is the list of one pair's distinct successors.
 
     A null text is an empty one: its closing token is scored. A null in ``train`` means not learned. Repeated rows are rows of their own, null ids
     stay null, a text longer than a block is a block of its own. With nothing to learn from, every token has probability 1.
-    An empty table gives an empty result. Words are told apart by 128 bits of a digest. Other columns are not read.
+    An empty table gives an empty result. Words are told apart by 96 bits of a digest. Other columns are not read.
     """
     prepare(df.sparkSession)
     blocks = tokenised(df, doc_id, text, train)
@@ -368,11 +348,7 @@ def score(df: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "tex
     shards, learned = max(1, math.ceil((size[0] or 0) / SHARD_TOKENS)), size[1] or 0
     replies = _vocabulary(blocks, shards)
     tokens, words, once, twice = _figures(replies)
-    requests = _requests(blocks, replies, shards, learned)
-    counted = _counted(requests, shards)
-    figures = _figures(counted)
-    tries = _tries(counted, [discount(*figures[:2]), discount(*figures[2:])])
-    answers = _answered(requests, tries)
+    answers = _answered(_requests(blocks, replies, shards, learned), shards, discounts)
     d1 = discount(once, twice)
     spread = d1 * words / tokens / (words + 1) if tokens else 1.0 / (words + 1)
     floor = tokens + 0.5 * (words + 1)
@@ -381,12 +357,20 @@ def score(df: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "tex
         out = []
         for block in left.to_pylist():
             kinds, shard_of, data = right["kind"].to_pylist(), right["shard"].to_pylist(), right["data"].to_pylist()
-            ids, counts = _words_of(block, {s: d for k, s, d in zip(kinds, shard_of, data) if k == 0}, shards)
+            ids, counts = _words_of(block, {s: d for k, s, d in zip(kinds, shard_of, data) if k == 0})
             answer = {s: d for k, s, d in zip(kinds, shard_of, data) if k == 1}
-            _, shard, place, _ = _asked(block, ids, counts, shards, learned)
+            rows, shard, place, extra, _ = _asked(block, ids, counts, shards, learned)
             codes = [unpacked(answer[s], *["<u2"] * 4) for s in sorted(answer)]
             rest = np.zeros(int((shard == 2 * shards).sum()), np.uint16)
-            weight_1, p_2, weight_2, p_3 = (np.concatenate([*(c[i] for c in codes), rest])[place] for i in range(4))
+            weight_1, p_2, weight_2, p_3 = (np.concatenate([*(c[i] for c in codes), rest]) for i in range(4))
+            # The weight of a word that is dealt over several shards is the sum of its parts.
+            left_1 = dequantise(weight_1, 1.0)
+            hot, of = np.unique(rows[0][extra], return_inverse=True)
+            if len(hot):
+                sums = np.bincount(of, dequantise(weight_1[extra]))
+                dealt = np.flatnonzero((shard >= shards) & (shard < 2 * shards))
+                left_1[dealt] = sums[np.searchsorted(hot, rows[0][dealt])]
+            left_1, p_2, weight_2, p_3 = (c[place] for c in (left_1, p_2, weight_2, p_3))
             sizes = unpacked(block["sizes"], "<i8", "<i1")[0]
             starts = np.cumsum(sizes) - sizes
             c = counts[unpacked(block["tokens"], "<u4")[0]]
@@ -394,7 +378,7 @@ def score(df: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "tex
             weight_2, p_3 = np.concatenate([[0], weight_2[:-1]]), np.concatenate([[0], p_3[:-1]])
             weight_2[starts], p_3[starts] = 0, 0
             p = np.where(c > 0, (c - d1) / max(tokens, 1), 0) + spread
-            p = dequantise(p_2) + dequantise(weight_1, 1.0) * p
+            p = dequantise(p_2) + left_1 * p
             p = dequantise(p_3) + dequantise(weight_2, 1.0) * p
             sums = [np.add.reduceat(x, starts) for x in ((c > 0).astype(np.int64), np.log10((c + 0.5) / floor), np.log10(np.minimum(p, 1)))]
             out.append(pa.table({"id": left["ids"].combine_chunks().flatten(), "n_tokens": sizes, "n_known": sums[0], "base_score": sums[1], "score": sums[2]}))
@@ -410,7 +394,7 @@ def score(df: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "tex
             *(T.StructField(n, T.DoubleType()) for n in ("base_score", "score")),
         ]
     )
-    scored = blocks.select("block", "ids", "sizes", "tokens", "words").groupBy("block").cogroup(back.groupBy("block")).applyInArrow(run, schema)
+    scored = blocks.select("block", "ids", "sizes", "tokens", "order").groupBy("block").cogroup(back.groupBy("block")).applyInArrow(run, schema)
     return scored.select("id", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score")
 
 

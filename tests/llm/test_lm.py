@@ -24,7 +24,7 @@ def tokens(text):
 class Plain:
     """The same model in dictionaries, without rounding."""
 
-    def __init__(self, texts):
+    def __init__(self, texts, discounts=None):
         self.c = [Counter(), Counter(), Counter()]
         for t in texts:
             x = ["begin", *tokens(t)]
@@ -33,6 +33,7 @@ class Plain:
             self.c[2].update(zip(x, x[1:], x[2:]))
         self.n, self.v = sum(self.c[0].values()), len(self.c[0])
         self.d = [ngramlm.discount(*(sum(n == k for n in c.values()) for k in (1, 2))) for c in self.c]
+        self.d[1:] = discounts or self.d[1:]
         self.total, self.types = Counter(), Counter()
         for c in self.c[1:]:
             for gram, n in c.items():
@@ -63,11 +64,7 @@ def same(row, expected):
     assert row.score == pytest.approx(expected[4], abs=3 * row.n_tokens / STEPS)
 
 
-@pytest.mark.parametrize("small", [False, True])
-def test_query_equals_plain_model(spark, monkeypatch, small):
-    if small:  # many blocks, many shards, and frequent first words dealt over several
-        monkeypatch.setattr(ngramlm, "BLOCK_BYTES", 20_000)
-        monkeypatch.setattr(ngramlm, "SHARD_TOKENS", 2_000)
+def test_query_equals_plain_model(spark):
     sf_dir = "/root/testdata/sf0.001"
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     learned = [i for i in texts if zlib.crc32(str(i).encode()) % 5 != 1]
@@ -79,6 +76,18 @@ def test_query_equals_plain_model(spark, monkeypatch, small):
         same(r, plain.scores(texts[r.doc_id]))
 
 
+def test_many_blocks_and_shards_and_first_words_dealt_over_several(spark, monkeypatch):
+    monkeypatch.setattr(ngramlm, "BLOCK_BYTES", 20_000)
+    monkeypatch.setattr(ngramlm, "SHARD_TOKENS", 500)
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").repartition(5)
+    texts = {r.doc_id: r.text for r in df.collect()}
+    plain = Plain([t for i, t in texts.items() if i % 3], (0.7, 0.8))
+    # Words with more tokens than a shard takes are there.
+    assert sum(n > 500 for n in plain.total.values()) >= 3
+    for r in ngramlm.score(df, F.col("doc_id") % 3 > 0, discounts=(0.7, 0.8)).collect():
+        same(r, plain.scores(texts[r.id]))
+
+
 def test_odd_rows(spark, odd, long_text):
     train = ~held_out("doc_id", 1)
     rows = ngramlm.score(odd, train).collect()
@@ -104,8 +113,8 @@ def test_a_word_and_a_pair_in_most_of_the_corpus(spark, monkeypatch):
     rng = np.random.default_rng(1)
     texts = [" ".join(x for w in rng.integers(0, 40, 12) for x in ("of", "the", f"w{w}")) for _ in range(60)] + ["of the new", "THE of"]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
-    plain = Plain(texts[:60])
-    for r in ngramlm.score(df, F.col("doc_id") < 60).collect():
+    plain = Plain(texts[:60], (0.6, 0.6))
+    for r in ngramlm.score(df, F.col("doc_id") < 60, discounts=(0.6, 0.6)).collect():
         same(r, plain.scores(texts[r.id]))
 
 
