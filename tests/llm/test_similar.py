@@ -76,6 +76,34 @@ def test_a_shared_passage_is_no_link(spark):
     assert kept == set(range(60))
 
 
+def test_wide_bands_are_split_until_copies_meet(spark, monkeypatch):
+    """A passage that makes most of each text puts all texts into the same bands: splits find the copies, no step lists all pairs."""
+    monkeypatch.setattr(similar, "WIDE", 4)
+    random.seed(6)
+    passage = " ".join(f"p{i}" for i in range(150))
+    own = [" ".join(f"o{random.randrange(10**6)}" for _ in range(50)) for _ in range(80)]
+    rows = [(i, f"{passage} {t}") for i, t in enumerate(own)]
+    for k in range(1, 4):
+        rows += [(100 * k + i, f"{passage} {' '.join(t.split()[: 50 - 2 * k])} end{k}") for i, t in enumerate(own)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, SF).select("doc_id").collect()}
+    assert kept == kept_by_brute_force(rows)
+
+
+def test_recall_by_band_of_similarity():
+    """Of pairs at each similarity, how many share a band."""
+    rng = np.random.default_rng(8)
+    for share, least in ((0.8, 0.99), (0.85, 0.998), (0.9, 0.999), (0.95, 0.999)):
+        hits, n = 0, 600
+        for _ in range(n):
+            both = rng.integers(0, 1 << 63, 400, np.uint64)
+            cut = round(400 * (1 - share) / (1 + share))
+            a, b = both.copy(), both.copy()
+            a[:cut], b[:cut] = rng.integers(0, 1 << 63, cut, np.uint64), rng.integers(0, 1 << 63, cut, np.uint64)
+            hits += bool(set(similar.bands(a)) & set(similar.bands(b)))
+        assert hits >= least * n
+
+
 def test_sets_and_fingerprints(long_text):
     for text in ["", None, " \n", "one", "a b c d", "A b C d e f", "r " * 50, long_text]:
         data = None if text is None else text.encode()
