@@ -271,6 +271,7 @@ _BODIES = {
         error_stack, request_id, user_id, user_tracking_id, content_id, t as parsed_event_time, cast(t as date) as event_date, source_file,
         service_name from cob""",
     "dim_span_sync": "select * from dim",
+    "dim_span_incremental": "select * from dim",
     "dim_span_backlog": "select event_action from dim where layer is null order by 1",
     # catalogs
     "event_catalog": f"select distinct event_action, {_PREFIX} as event_prefix from api_log where event_action is not null",

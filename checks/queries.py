@@ -212,6 +212,14 @@ def dim_span_sync(spark, d):
     return catalogs.sync_dimension(spans, _known_actions(spans), now="2024-02-01 00:00:00")
 
 
+@query
+def dim_span_incremental(spark, d):
+    """The same from the shares of the single files."""
+    spans = fx.spans(spark, d)
+    shares = catalogs.fold_spans(spans, "source_file")
+    return catalogs.merge_dimension(shares, _known_actions(spans), now="2024-02-01 00:00:00")
+
+
 def _known_actions(spans):
     """A dimension that knows the generators already."""
     known = spans.where(F.col("event_action").like("%.generate")).select("event_action").distinct()

@@ -1,6 +1,6 @@
 """Registries of event families and of span actions."""
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from logloom.constants import PENDING
 from logloom.functions import contains_text, event_prefix, is_unreviewed
@@ -137,30 +137,43 @@ def top_event_prefixes(catalog: DataFrame, limit: int = 10) -> DataFrame:
     )
 
 
-def new_span_actions(spans: DataFrame, dimension: DataFrame, now=None) -> DataFrame:
-    """Rows to append to ``dim_span``: one per unseen action, with its first method name.
+def _first_span():
+    """Of several spans the one with the smallest method name (none comes last), then source."""
+    return F.min(F.struct(F.col("method_name").isNull().alias("unnamed"), "method_name", "source")).alias("first")
 
-    Spans are reduced to distinct combinations map-side before anything is ranked.
+
+def fold_spans(spans: DataFrame, *by: str) -> DataFrame:
+    """First method name and source and number of spans per action, and per ``by``.
+
+    The state is one row of fixed columns, so it folds map-side and merges by the same minimum: stored per source file,
+    a refresh folds new files only. Spans without an action are counted as well, so that a file's share accounts for all its rows.
     """
-    seen = spans.where(F.col("event_action").isNotNull()).select("event_action", "source", "method_name").distinct()
-    first = Window.partitionBy("event_action").orderBy(F.asc_nulls_last("method_name"), "source")
-    fresh = (
-        seen.join(dimension.select("event_action"), "event_action", "left_anti")
-        .withColumn("_rank", F.row_number().over(first))
-        .where(F.col("_rank") == 1)
-    )
+    folded = spans.groupBy(*by, "event_action").agg(_first_span(), F.count("*").alias("span_count"))
+    return folded.select("event_action", "first.method_name", "first.source", "span_count", *by)
+
+
+def new_span_actions(folded: DataFrame, dimension: DataFrame, now=None) -> DataFrame:
+    """Rows to append to ``dim_span``: one per unseen action, with its first method name; from folded spans or shares."""
+    known = dimension.select("event_action")
+    merged = folded.where(F.col("event_action").isNotNull()).groupBy("event_action").agg(_first_span())
+    fresh = merged.join(known, "event_action", "left_anti")
     discovered = F.lit(now).cast("timestamp_ntz") if now is not None else F.localtimestamp()
     return fresh.select(
         "event_action",
-        F.col("source").alias("service_name"),
-        "method_name",
+        F.col("first.source").alias("service_name"),
+        "first.method_name",
         *[F.lit(None).cast("string").alias(c) for c in ("layer", "category", "criticality", "owner_team", "remarks")],
         discovered.alias("discovered_at"),
     )
 
 
+def merge_dimension(shares: DataFrame, dimension: DataFrame, now=None) -> DataFrame:
+    """The dimension brought up to date from stored shares; no span is read."""
+    return dimension.unionByName(new_span_actions(shares, dimension, now))
+
+
 def sync_dimension(spans: DataFrame, dimension: DataFrame, now=None) -> DataFrame:
-    return dimension.unionByName(new_span_actions(spans, dimension, now))
+    return merge_dimension(fold_spans(spans), dimension, now)
 
 
 def dimension_backlog(dimension: DataFrame) -> DataFrame:

@@ -165,8 +165,18 @@ def sync_gap_catalog(warehouse: Warehouse, log_type: str) -> None:
     warehouse.replace("instrumentation_gap_catalog", gaps.sync_gaps(current, metadata))
 
 
+def fold_spans(warehouse: Warehouse) -> None:
+    """Add the shares of new files to ``span_shares``."""
+    spans = warehouse.read("span_fact")
+    names = _unfolded_files(spans, warehouse.read("span_shares"), "span_count")
+    if names:
+        warehouse.append("span_shares", catalogs.fold_spans(_only(spans, names), "source_file"), shuffled=True)
+
+
 def sync_span_dimension(warehouse: Warehouse, now=None) -> None:
-    dimension = catalogs.sync_dimension(warehouse.read("span_fact"), warehouse.read("dim_span"), now)
+    """Span dimension from the stored shares; the spans of files that were folded before are not read."""
+    fold_spans(warehouse)
+    dimension = catalogs.merge_dimension(warehouse.read("span_shares"), warehouse.read("dim_span"), now)
     warehouse.replace("dim_span", dimension)
 
 

@@ -64,6 +64,8 @@ GAP_SHARES = _schema(
     level_seen timestamp_ntz, source_system string, source_file string"""
 )
 
+SPAN_SHARES = _schema("event_action string, method_name string, source string, span_count bigint, source_file string")
+
 EVENT_CATALOG_API = _schema("event_action string, event_prefix string")
 
 CAPABILITY_CATALOG = _schema(
@@ -104,6 +106,7 @@ TABLES = {
     "cobrand_event_fact": (COBRAND_EVENT_FACT, ("event_date", "source_file")),
     "event_shares": (EVENT_SHARES, ("source_file",)),
     "gap_shares": (GAP_SHARES, ("source_system", "source_file")),
+    "span_shares": (SPAN_SHARES, ("source_file",)),
     "event_catalog_api": (EVENT_CATALOG_API, ()),
     "capability_catalog": (CAPABILITY_CATALOG, ()),
     "instrumentation_gap_catalog": (INSTRUMENTATION_GAP_CATALOG, ()),

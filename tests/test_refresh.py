@@ -8,7 +8,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from logloom.operators import archive, manifest
+from logloom.operators import archive, catalogs, manifest
 from logloom.plans import refresh
 from logloom.reports import REPORTS, Reports
 from logloom.sources import logs
@@ -23,7 +23,7 @@ def _counts(warehouse):
 
 EXPECTED = {
     "raw_api": 6, "raw_cobrand": 4, "event_fact_api": 5, "span_fact": 8, "span_context": 8, "cobrand_event_fact": 1,
-    "event_shares": 5, "gap_shares": 5, "event_catalog_api": 2, "capability_catalog": 1, "instrumentation_gap_catalog": 3, "dim_span": 4, "archive_manifest": 2,
+    "event_shares": 5, "gap_shares": 5, "span_shares": 4, "event_catalog_api": 2, "capability_catalog": 1, "instrumentation_gap_catalog": 3, "dim_span": 4, "archive_manifest": 2,
 }
 
 
@@ -49,6 +49,22 @@ def test_facts(loaded, rows):
     assert loose["message"] == STANDALONE["message"] and loose["level"] == "error"
 
 
+def test_the_span_dimension_follows_from_shares(loaded, rows, spark, folder):
+    """Shares of single files give the dimension of all spans, and a folded file's spans are not needed again."""
+    spans = loaded[0].read("span_fact")
+    more = spans.withColumns({"source_file": F.lit("other.log"), "method_name": F.lit("a first method")}).limit(3)
+    nameless = spans.withColumns({"event_action": F.lit("never.named"), "method_name": F.lit(None).cast("string"), "source_file": F.lit("third.log")})
+    every = spans.unionByName(more).unionByName(nameless).unionByName(more.withColumn("event_action", F.lit(None).cast("string")))
+    none = Warehouse(spark, f"{folder}/none").read("dim_span")
+    shares = catalogs.fold_spans(every, "source_file")
+    assert shares.agg(F.sum("span_count")).first()[0] == every.count()
+    found = rows(catalogs.merge_dimension(shares, none, "2026-08-01 00:00:00"))
+    assert found == rows(catalogs.sync_dimension(every, none, "2026-08-01 00:00:00"))
+    assert {r["event_action"]: r["method_name"] for r in found}["never.named"] is None
+    plan = catalogs.merge_dimension(loaded[0].read("span_shares"), loaded[0].read("dim_span"))._jdf.queryExecution().toString()
+    assert "span_fact" not in plan
+
+
 def test_gap_catalog(loaded, rows):
     found = {(r["source_system"], r["signature"]): r for r in rows(loaded[0].read("instrumentation_gap_catalog"))}
     assert set(found) == {("API", "TWITTER_TOKEN_INVALID"), ("API", "VIDEO_MAX_FPS_TOO_LOW"), ("COBRAND", "MEDIA_NOT_READY")}
