@@ -15,7 +15,7 @@ def ingest(warehouse: Warehouse, log_type: str, folder: str, checkpoint: str, fi
     ``folder`` is a folder or a glob over folders; files are known by their path below
     it. A file is always read whole within one batch, and a batch replaces the
     partitions of its files, so a batch that is replayed after a failure changes
-    nothing. Facts and registries follow from the raw table as in a batch run.
+    nothing. Facts, shares and registries are brought up to date at the end of each batch, as a batch run does.
     """
     identified = log_type == "cobrand"
     text = warehouse.spark.readStream.schema(T.StructType([T.StructField("value", T.StringType())]))
@@ -26,8 +26,11 @@ def ingest(warehouse: Warehouse, log_type: str, folder: str, checkpoint: str, fi
         warehouse.append(refresh.RAW_TABLES[log_type], logs.raw_table(batch, identified), shuffled=identified)
         if identified:
             refresh.build_cobrand_facts(warehouse)
+            refresh.sync_span_dimension(warehouse)
         else:
             refresh.build_api_facts(warehouse)
+            refresh.sync_api_catalogs(warehouse)
+        refresh.sync_gap_catalog(warehouse, log_type)
 
     return (
         lines.writeStream.foreachBatch(load)

@@ -13,8 +13,9 @@ def test_three_drops_equal_one_batch(spark, folder, rows):
         write(f"{folder}/logs/cobrand-2026-07-0{day}.log", [TRACE, STANDALONE] * day)
         ingest(streamed, "cobrand", f"{folder}/logs", f"{folder}/checkpoint").awaitTermination()
     refresh.refresh_cobrand(batch, f"{folder}/logs/*.log")
-    for table in ("raw_cobrand", "span_fact", "span_context", "cobrand_event_fact"):
-        columns = [c for c in batch.read(table).columns if c != "doc"]
+    followers = ("span_shares", "gap_shares", "dim_span", "instrumentation_gap_catalog")
+    for table in ("raw_cobrand", "span_fact", "span_context", "cobrand_event_fact", *followers):
+        columns = [c for c in batch.read(table).columns if c not in ("doc", "discovered_at")]
         assert rows(streamed.read(table), *columns) == rows(batch.read(table), *columns)
     assert streamed.read("span_fact").count() == 6 * 4
 
@@ -25,6 +26,8 @@ def test_api_drop(spark, folder):
     for _ in range(2):
         ingest(warehouse, "api", f"{folder}/logs", f"{folder}/checkpoint").awaitTermination()
     assert warehouse.read("event_fact_api").count() == len(API_DAY)
+    assert warehouse.read("event_catalog_api").count() == 2 and warehouse.read("capability_catalog").count() == 1
+    assert warehouse.read("instrumentation_gap_catalog").count() == 2
 
 
 def test_windowed_failures_on_a_stream(spark, folder, rows):
