@@ -56,8 +56,6 @@ class Pieces:
         self.chunks = re.compile(r"(?s).+" if crossing else pattern).findall
         self.crossing = crossing
         self.memo = Memo(self._ids)
-        #: Whether some chunk's ids did not spell the chunk (a model without byte pieces has no ids for unknown characters).
-        self.lossy = False
         self.joins: dict[int, bool] = {}
         self.plain = [self._bytes(i, p) for i, p in enumerate(model.pieces)]
 
@@ -70,10 +68,7 @@ class Pieces:
         return piece.piece.replace(SPACE, " ").encode() if piece.type == _NORMAL else b""
 
     def _ids(self, chunk: str) -> bytes:
-        ids = self.best_path(chunk)
-        spelt = b"".join(map(self.plain.__getitem__, ids))
-        self.lossy |= spelt != chunk.replace(SPACE, " ").encode("utf-8", "surrogatepass")
-        return array("i", ids).tobytes()
+        return array("i", self.best_path(chunk)).tobytes()
 
     def best_path(self, chunk: str) -> list[int]:
         """Ids of the best segmentation of a chunk, in one pass over its characters.
@@ -164,8 +159,8 @@ class Pieces:
         return b"".join(out)
 
     def round_trip(self, text: str | None, ids: bytes) -> bool:
-        """Whether the ids decode to the text. Every chunk was spelt when it was encoded; where all were right, so is the whole."""
-        return not self.lossy or self.decode(np.frombuffer(ids, np.int32).tolist()) == (text or "").replace(SPACE, " ")
+        """Whether the ids, decoded, are the text. They are not where it holds a space mark of the model's own (U+2581)."""
+        return self.decode(np.frombuffer(ids, np.int32).tolist()) == (text or "")
 
     def decode(self, ids: list[int]) -> str:
         data = b"".join(map(self.plain.__getitem__, ids))
@@ -181,7 +176,8 @@ def load(path: str) -> Pieces:
 def encode(df: DataFrame, path: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns ``keep``, and ``ids`` (array of int), ``n_ids`` and ``round_trip`` of every whole text.
 
-    ``round_trip`` says whether the ids, decoded again, gave the text (a null text counts as empty).
+    ``round_trip`` says whether the ids, decoded again, give the very text (a null text counts as empty); a text that holds
+    the model's space mark (U+2581) reads otherwise, so it is false there.
 
     Null and empty texts have no ids. Repeated rows each return a row; an empty table gives an empty one. ``path`` must be
     readable on the executors. Columns of ``keep`` with our names would clash: rename them first.

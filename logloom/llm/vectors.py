@@ -208,14 +208,16 @@ def duplicates(
 
     Rows with a null id or label, and vectors that are null, empty or zero or hold a null or non-finite component, link
     with nothing: 0 links, their own id. Vectors of different dimensions never link. Rows that repeat an id count as rows of
-    their own. An empty table gives an empty result.
+    their own, whose links and classes stay apart where their labels or vectors differ. An empty table gives an empty result.
     """
     prepare(df.sparkSession)
     rows = stored(_described(df, vec_id, vector, label, cosine, seed), "vectors")
     folded = (
         rows.filter("digest is not null")
         .groupBy("label", "digest", "dimension", "cell")
-        .agg(F.min("id").alias("node"), F.count("*").alias("n_copies"), F.min("vector").alias("vector"))
+        .agg(F.min("id").alias("least_id"), F.count("*").alias("n_copies"), F.min("vector").alias("vector"))
+        # An id may stand in several labels or with several vectors: a point is known by both of these.
+        .withColumn("node", F.concat_ws("/", F.hex("digest"), F.col("label").cast("string")))
     )
     reps = stored(folded, "distinct-vectors")
 
@@ -229,33 +231,25 @@ def duplicates(
         copies = frame["n_copies"].to_numpy()
         n_links = np.bincount(a, copies[b], len(frame)) + np.bincount(b, copies[a], len(frame))
         node = frame["node"].to_numpy()
-        # Points by id, so that the smallest index reached is the smallest id.
-        order = np.argsort(node, kind="stable")
-        place = np.empty(len(node), np.int64)
-        place[order] = np.arange(len(node))
-        root = node[order][_roots(len(node), place[a], place[b])][place]
+        root = node[_roots(len(node), a, b)]
         linked = n_links > 0
         return pd.DataFrame({"node": node[linked], "n_links": n_links[linked].astype(np.int64), "root": root[linked]})
 
-    kind = rows.schema["id"].dataType.simpleString()
     keys = ["label", "dimension", "cell_left", "block_left", "cell_right", "block_right"]
-    found = stored(
-        _paired(reps, block).groupBy(*keys).applyInPandas(links, f"node {kind}, n_links long, root {kind}"), "vector-links"
-    )
+    found = stored(_paired(reps, block).groupBy(*keys).applyInPandas(links, "node string, n_links long, root string"), "vector-links")
     degrees = found.groupBy("node").agg(F.sum("n_links").alias("n_links"))
     classes = connected(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
-    nodes = stored(
-        reps.select("label", "digest", "node", "n_copies")
-        .join(degrees, "node", "left")
-        .join(classes, "node", "left")
-        .select(
-            "label",
-            "digest",
-            (F.coalesce("n_links", F.lit(0)) + F.col("n_copies") - 1).alias("n_links"),
-            F.coalesce("root", "node").alias("component_id"),
-        ),
+    joined = stored(
+        reps.select("label", "digest", "node", "least_id", "n_copies").join(degrees, "node", "left").join(classes, "node", "left"),
         "vector-classes",
     )
+    least = joined.filter("root is not null").groupBy("root").agg(F.min("least_id").alias("class_id"))
+    nodes = joined.join(least, "root", "left").select(
+        "label",
+        "digest",
+        (F.coalesce("n_links", F.lit(0)) + F.col("n_copies") - 1).alias("n_links"),
+        F.coalesce("class_id", "least_id").alias("component_id"),
+    )
     return (
         rows.select("id", "label", "digest")
         .join(nodes, ["label", "digest"], "left")

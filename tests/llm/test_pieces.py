@@ -75,3 +75,12 @@ def test_odd_rows(spark, odd, none):
     assert pieces.encode(none, PATH).count() == 0
     lost = spark.createDataFrame([(1, None), (2, [])], "doc_id long, ids array<int>")
     assert {r.decoded for r in pieces.decode(lost, PATH).collect()} == {""}
+
+
+def test_round_trip_is_what_decoding_gives(spark):
+    texts = ["a▁b", "▁", "a b", "", None, " lead", "tail ", "é\n\t x"]
+    encoded = pieces.encode(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), PATH)
+    trips = {r.doc_id: r.round_trip for r in encoded.collect()}
+    decoded = {r.doc_id: r.decoded for r in pieces.decode(encoded, PATH).collect()}
+    assert trips == {i: decoded[i] == (t or "") for i, t in enumerate(texts)}
+    assert [trips[i] for i in range(len(texts))] == [False, False] + [True] * 6

@@ -99,3 +99,10 @@ def test_odd_rows(spark):
     assert found == {(1, 3, 1), (2, 3, 1), (3, 3, 1), (None, 0, None)} | {(i, 0, i) for i in range(4, 13)}
     assert vectors.duplicates(df).count() == len(rows)
     assert vectors.duplicates(df.limit(0)).count() == 0
+
+
+def test_an_id_in_two_labels_or_on_two_vectors(spark):
+    a, b, c = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0], [0.0, 0.0, 1.0]
+    rows = [(1, 0, a), (5, 0, a), (5, 1, a), (9, 1, a), (5, 0, b), (7, 0, b), (8, 0, c), (9, 0, c), (9, 0, a)]
+    found = sorted((r.label, r.id, r.n_links, r.component_id) for r in vectors.duplicates(spark.createDataFrame(rows, SCHEMA)).collect())
+    assert found == sorted([(0, 1, 2, 1), (0, 5, 2, 1), (0, 9, 2, 1), (1, 5, 1, 5), (1, 9, 1, 5), (0, 5, 1, 5), (0, 7, 1, 5), (0, 8, 1, 8), (0, 9, 1, 8)])
