@@ -234,6 +234,9 @@ _BODIES = {
         sum(c)::bigint as unreadable_ids from (select source_file, 1 as a, 0 as b, 0 as c from spans0 where depth = 0
         union all select source_file, 0, 1, cast(user_id = 'n/a' as int) from cob0) group by 1""",
     "ingest_new_files": """select distinct source_file from api_log where cast(regexp_extract(source_file, '-([0-9]{2})[.]log', 1) as int) > 10""",
+    "ledger_pending": """select source_file, rows, cast(case when day % 5 = 0 then 3 else 1 end as bigint) as batch from (
+        select source_file, count(*) as rows, cast(regexp_extract(source_file, '-([0-9]{2})[.]log', 1) as int) as day
+        from api_log group by 1, 3) where day > 20 or day % 5 = 0 or day % 7 = 0""",
     "ingest_raw_id": """select *, sha256(source_file || chr(10) || line || chr(10) || occurrence) as raw_id from (
         select source_file, line, row_number() over (partition by source_file, line) as occurrence from (
         select 'application-' || strftime(ts, '%Y-%m-%d') || '.log' as source_file,

@@ -7,7 +7,7 @@ from checks.fixtures import END, START
 from logloom import functions as fn
 from logloom.operators import archive, catalogs, flatten, gaps, investigate, manifest, metrics, traces
 from logloom.operators.upsert import upsert
-from logloom.sources import logs
+from logloom.sources import ledger, logs
 
 QUERIES = {}
 
@@ -41,6 +41,22 @@ def ingest_new_files(spark, d):
     return logs.new_files(rows.select("source_file").distinct(), known)
 
 
+@query
+def ledger_pending(spark, d):
+    """Files whose facts are behind their lines: never built, taken back, or older than lines that were loaded again."""
+    files = fx.api_log(spark, d).groupBy("source_file").agg(F.count(F.lit(1)).alias("rows"))
+    day = F.regexp_extract("source_file", r"-(\d\d)[.]log", 1).cast("int")
+
+    def entries(step, batch, chosen, rows="rows"):
+        return files.where(chosen).select(
+            F.lit(step).alias("step"), "source_file", F.expr(rows).cast("bigint").alias("rows"), F.lit(batch).cast("bigint").alias("batch")
+        )
+
+    book = entries("raw_api", 1, F.lit(True)).unionByName(entries("event_fact_api", 2, day <= 20))
+    book = book.unionByName(entries("raw_api", 3, day % 5 == 0)).unionByName(entries("event_fact_api", 4, day % 7 == 0, "null"))
+    return ledger.pending(book, "raw_api", "event_fact_api")
+
+
 @query
 def ingest_raw_id(spark, d):
     """Row ids of lines that repeat within their file."""

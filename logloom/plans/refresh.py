@@ -5,19 +5,21 @@ run that died is continued by simply running again.
 """
 
 from dataclasses import dataclass
+from typing import NamedTuple
 
 from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from logloom.constants import DELETED, VALIDATED, VALIDATED_KEPT
+from logloom.constants import DELETED, FAILED, VALIDATED, VALIDATED_KEPT
 from logloom.operators import archive, catalogs, flatten, gaps, manifest, traces
 from logloom.operators.upsert import upsert
-from logloom.sources import logs
+from logloom.sources import ledger, logs
 from logloom.sources.tables import Warehouse
 
 # What differs between the two kinds of log.
 RAW_TABLES = {"api": "raw_api", "cobrand": "raw_cobrand"}
+FACTS = {"api": ("event_fact_api",), "cobrand": ("cobrand_event_fact", "span_fact")}
 
 
 @dataclass(frozen=True)
@@ -32,40 +34,64 @@ class LogFolders:
         return getattr(self, log_type)
 
 
-def _new_paths(warehouse: Warehouse, pattern: str, known: DataFrame) -> list[str]:
-    """Paths of the files nothing was loaded from yet.
+class Loaded(NamedTuple):
+    """Numbers of files that a load stored, and that it could not read."""
 
-    Only file names reach the driver, as they do for every Spark file scan.
-    """
-    fresh = logs.new_files(logs.list_files(warehouse.spark, pattern), known)
-    return [row.path for row in fresh.select("path").collect()]
+    loaded: int
+    failed: int
 
 
-def load_raw(warehouse: Warehouse, log_type: str, pattern: str) -> list[str]:
-    """Read new log files into the raw table; returns their paths. The text is scanned once.
+def load_raw(warehouse: Warehouse, log_type: str, pattern: str) -> Loaded:
+    """Read the log files that the ledger doesn't know into the raw table. The text is scanned once.
 
-    If the load fails, the files that can't be read are looked for and noted in ``load_failures``, and the others are
+    The new files are stored as a table and loaded in rounds; a round's paths are all that the driver lists. If a
+    round fails, the files that can't be read are looked for and noted in ``load_failures``, and the others are
     loaded; the next refresh tries the noted ones again. A failure that no file explains is raised.
     """
     table, spark = RAW_TABLES[log_type], warehouse.spark
-    paths = _new_paths(warehouse, pattern, warehouse.read(table))
-    root, identified = logs.root_of(spark, pattern), log_type == "cobrand"
+    root, first = logs.root_of(spark, pattern), warehouse.next_batch()
+    loaded = failed = 0
+    with warehouse.kept(ledger.unknown(warehouse.read("file_ledger"), table, logs.list_files(spark, pattern))) as fresh:
+        while True:
+            tried = warehouse.read("file_ledger").where((F.col("step") == table) & (F.col("batch") >= first))
+            rest = fresh.join(tried.select("source_file"), "source_file", "left_anti")
+            files = rest.orderBy("source_file").limit(ledger.FILES_PER_ROUND).collect()
+            if not files:
+                return Loaded(loaded, failed)
+            bad = _load_round(warehouse, log_type, [f.path for f in files], root)
+            good = [f for f in files if f.path not in bad]
+            if good:
+                note_loaded(warehouse, log_type, spark.createDataFrame(good, rest.schema))
+            if bad:
+                unread = spark.createDataFrame([(f.source_file, bad[f.path]) for f in files if f.path in bad], "source_file string, reason string")
+                note_failures(warehouse, log_type, unread)
+                warehouse.note(table, unread)
+            loaded, failed = loaded + len(good), failed + len(bad)
+
+
+def _load_round(warehouse: Warehouse, log_type: str, paths: list[str], root: str) -> dict[str, str]:
+    """Load some files; returns those that can't be read, with the reason."""
+    table, identified = RAW_TABLES[log_type], log_type == "cobrand"
 
     def load(chosen: list[str]) -> None:
         if chosen:
-            warehouse.append(table, logs.raw_table(logs.scan_lines(spark, chosen, root), identified), shuffled=identified)
+            warehouse.append(table, logs.raw_table(logs.scan_lines(warehouse.spark, chosen, root), identified), shuffled=identified)
 
     try:
         load(paths)
+        return {}
     except (PySparkException, Py4JError):
-        bad = logs.unreadable_files(spark, paths)
+        bad = dict(logs.unreadable_files(warehouse.spark, paths))
         if not bad:
             raise
-        failures = spark.createDataFrame(bad, "path string, reason string")
-        note_failures(warehouse, log_type, failures.select(logs.file_key(root, "path").alias("source_file"), "reason"))
-        paths = [p for p in paths if p not in dict(bad)]
-        load(paths)
-    return paths
+        load([p for p in paths if p not in bad])
+        return bad
+
+
+def note_loaded(warehouse: Warehouse, log_type: str, files: DataFrame) -> None:
+    """Enter files whose lines were just stored; only their own partitions are counted."""
+    table = RAW_TABLES[log_type]
+    warehouse.note(table, files, archive.count_per_file(_only(warehouse.read(table), files)))
 
 
 def note_failures(warehouse: Warehouse, log_type: str, failures: DataFrame) -> None:
@@ -75,127 +101,203 @@ def note_failures(warehouse: Warehouse, log_type: str, failures: DataFrame) -> N
     warehouse.replace("load_failures", upsert(warehouse.read("load_failures"), noted, keys, ("reason", "failed_at")))
 
 
-def _names(files: DataFrame) -> list[str]:
-    return [row.source_file for row in files.select("source_file").collect()]
-
+def _only(df: DataFrame, files: DataFrame) -> DataFrame:
+    """Rows of some files, at most a round's. Their names are partition values, so no other file is opened.
 
-def _only(df: DataFrame, names: list[str]) -> DataFrame:
-    """Rows of some files. The names are partition values, so no other file is opened."""
-    return df.where(F.col("source_file").isin(names))
+    The condition on the name, true of any, is what lets Spark prune partitions by the broadcast names.
+    """
+    names = files.where(F.length("source_file") > 0).select("source_file")
+    return df.join(F.broadcast(names), "source_file", "left_semi")
 
 
-def _missing_files(rows: DataFrame, fact: DataFrame) -> list[str]:
-    """Files whose number of rows in ``fact`` is not that in ``rows``.
+def _advance(warehouse: Warehouse, source: str, target: str, build, stored=None) -> None:
+    """Do a step for the files that the step ``source`` has stored and ``target`` has not, in rounds.
 
-    Counts per partition value need no data columns, and comparing counts rather
-    than names also finds a file that was only partly written.
+    ``build(files)`` writes the rows of a round's files and ``stored(files)`` counts them again as they were written.
+    Without ``stored`` the step makes registries, which follow from shares of all files: one round for any number.
     """
-    want, have = archive.count_per_file(rows), archive.count_per_file(fact)
-    return _names(want.join(have, ["source_file", "rows"], "left_anti"))
+    while True:
+        files = ledger.pending(warehouse.read("file_ledger"), source, target)
+        if stored is not None:
+            files = files.orderBy("source_file").limit(ledger.FILES_PER_ROUND)
+        with warehouse.kept(files) as chosen:
+            if chosen.isEmpty():
+                return
+            build(chosen)
+            nothing = warehouse.spark.createDataFrame([], "source_file string, rows bigint")
+            warehouse.note(target, chosen, nothing if stored is None else stored(chosen))
+
+
+def _rows_of(warehouse: Warehouse, table: str, condition: Column | None = None):
+    """Counts the rows that a table has of a round's files."""
+
+    def count(files: DataFrame) -> DataFrame:
+        rows = warehouse.read(table)
+        return archive.count_per_file(_only(rows if condition is None else rows.where(condition), files))
+
+    return count
 
 
 def build_api_facts(warehouse: Warehouse) -> None:
-    raw = warehouse.read("raw_api").where(F.col("kind") != logs.MALFORMED)
-    names = _missing_files(raw, warehouse.read("event_fact_api"))
-    if names:
-        warehouse.append("event_fact_api", flatten.flatten_api(logs.documents(_only(raw, names))))
+    def build(files: DataFrame) -> None:
+        raw = warehouse.read("raw_api").where(F.col("kind") != logs.MALFORMED)
+        warehouse.append("event_fact_api", flatten.flatten_api(logs.documents(_only(raw, files))))
+
+    _advance(warehouse, "raw_api", "event_fact_api", build, _rows_of(warehouse, "event_fact_api"))
 
 
 def build_cobrand_facts(warehouse: Warehouse) -> None:
-    raw = warehouse.read("raw_cobrand")
-    events = raw.where(F.col("kind") == logs.EVENT)
-    names = _missing_files(events, warehouse.read("cobrand_event_fact"))
-    if names:
-        warehouse.append("cobrand_event_fact", flatten.flatten_standalone(logs.standalone(_only(events, names))))
-    traced = raw.where(F.col("kind") == logs.TRACE)
-    roots = warehouse.read("span_fact").where(F.col("depth") == 0)
-    names = _missing_files(traced, roots)
-    if names:
-        nodes = traces.span_nodes(logs.traces(_only(traced, names)))
-        # The context goes first: a file whose spans are complete has its context as well.
+    def build_events(files: DataFrame) -> None:
+        events = _only(warehouse.read("raw_cobrand").where(F.col("kind") == logs.EVENT), files)
+        warehouse.append("cobrand_event_fact", flatten.flatten_standalone(logs.standalone(events)))
+
+    def build_spans(files: DataFrame) -> None:
+        traced = _only(warehouse.read("raw_cobrand").where(F.col("kind") == logs.TRACE), files)
+        nodes = traces.span_nodes(logs.traces(traced))
         warehouse.append("span_context", traces.span_context(nodes))
         warehouse.append("span_fact", traces.span_facts(nodes))
 
+    _advance(warehouse, "raw_cobrand", "cobrand_event_fact", build_events, _rows_of(warehouse, "cobrand_event_fact"))
+    _advance(warehouse, "raw_cobrand", "span_fact", build_spans, _rows_of(warehouse, "span_fact", F.col("depth") == 0))
+
 
-def _unfolded_files(fact: DataFrame, shares: DataFrame, count: str) -> list[str]:
-    """Files whose stored share does not account for all of their rows in the fact."""
-    folded = shares.groupBy("source_file").agg(F.sum(count).alias("rows"))
-    return _names(archive.count_per_file(fact).join(folded, ["source_file", "rows"], "left_anti"))
+def _folded(shares: DataFrame, count: str) -> DataFrame:
+    """Rows per file that its stored shares stand for."""
+    return shares.groupBy("source_file").agg(F.sum(count).alias("rows"))
 
 
 def fold_events(warehouse: Warehouse) -> None:
     """Add the shares of new files to ``event_shares``."""
-    events = warehouse.read("event_fact_api")
-    names = _unfolded_files(events, warehouse.read("event_shares"), "event_count")
-    if names:
-        warehouse.append("event_shares", catalogs.fold_events(_only(events, names), "source_file"), shuffled=True)
+
+    def build(files: DataFrame) -> None:
+        events = _only(warehouse.read("event_fact_api"), files)
+        warehouse.append("event_shares", catalogs.fold_events(events, "source_file"), shuffled=True)
+
+    _advance(warehouse, "event_fact_api", "event_shares", build, lambda files: _folded(_only(warehouse.read("event_shares"), files), "event_count"))
+
+
+# log type -> (its fact, the messages of the fact that name no event)
+GAP_SOURCES = {"api": ("event_fact_api", gaps.api_gap_source), "cobrand": ("cobrand_event_fact", gaps.cobrand_gap_source)}
+
+
+def _gap_shares(warehouse: Warehouse, log_type: str) -> DataFrame:
+    return warehouse.read("gap_shares").where(F.col("source_system") == log_type.upper())
 
 
 def fold_gaps(warehouse: Warehouse, log_type: str) -> None:
     """Add the shares of new files to ``gap_shares``."""
-    table, source = {
-        "api": ("event_fact_api", gaps.api_gap_source),
-        "cobrand": ("cobrand_event_fact", gaps.cobrand_gap_source),
-    }[log_type]
-    fact = warehouse.read(table)
-    shares = warehouse.read("gap_shares").where(F.col("source_system") == log_type.upper())
-    names = _unfolded_files(fact, shares, "occurrence_count")
-    if not names:
-        return
-    fresh = _only(fact, names)
-    folded = gaps.fold_gaps(source(fresh, "source_file"))
-    rest = gaps.no_gaps(fresh, log_type.upper())
-    warehouse.append("gap_shares", folded.unionByName(rest, allowMissingColumns=True), shuffled=True)
+    fact, source = GAP_SOURCES[log_type]
+
+    def build(files: DataFrame) -> None:
+        fresh = _only(warehouse.read(fact), files)
+        folded = gaps.fold_gaps(source(fresh, "source_file"))
+        rest = gaps.no_gaps(fresh, log_type.upper())
+        warehouse.append("gap_shares", folded.unionByName(rest, allowMissingColumns=True), shuffled=True)
+
+    def stored(files: DataFrame) -> DataFrame:
+        return _folded(_only(_gap_shares(warehouse, log_type), files), "occurrence_count")
+
+    _advance(warehouse, fact, f"gap_shares_{log_type}", build, stored)
 
 
 def sync_api_catalogs(warehouse: Warehouse) -> None:
-    """Event catalog and registry from the stored shares; the fact's history is not read."""
+    """Event catalog and registry from the stored shares, where any are new; the fact's history is not read."""
     fold_events(warehouse)
-    shares = warehouse.read("event_shares")
-    warehouse.replace("event_catalog_api", catalogs.event_catalog(shares))
-    registry = catalogs.sync_capabilities(warehouse.read("capability_catalog"), catalogs.capability_totals(shares))
-    warehouse.replace("capability_catalog", registry)
+
+    def build(_: DataFrame) -> None:
+        shares = warehouse.read("event_shares")
+        warehouse.replace("event_catalog_api", catalogs.event_catalog(shares))
+        registry = catalogs.sync_capabilities(warehouse.read("capability_catalog"), catalogs.capability_totals(shares))
+        warehouse.replace("capability_catalog", registry)
+
+    _advance(warehouse, "event_shares", "event_catalog_api", build)
 
 
 def sync_gap_catalog(warehouse: Warehouse, log_type: str) -> None:
-    """Gap catalog from the stored shares of both sources."""
+    """Gap catalog from the stored shares of both sources, where any are new."""
     fold_gaps(warehouse, log_type)
-    current = warehouse.read("instrumentation_gap_catalog")
-    metadata = gaps.gap_totals(warehouse.read("gap_shares"))
-    warehouse.replace("instrumentation_gap_catalog", gaps.sync_gaps(current, metadata))
+
+    def build(_: DataFrame) -> None:
+        current = warehouse.read("instrumentation_gap_catalog")
+        metadata = gaps.gap_totals(warehouse.read("gap_shares"))
+        warehouse.replace("instrumentation_gap_catalog", gaps.sync_gaps(current, metadata))
+
+    _advance(warehouse, f"gap_shares_{log_type}", f"instrumentation_gap_catalog_{log_type}", build)
 
 
 def fold_spans(warehouse: Warehouse) -> None:
     """Add the shares of new files to ``span_shares``."""
-    spans = warehouse.read("span_fact")
-    names = _unfolded_files(spans, warehouse.read("span_shares"), "span_count")
-    if names:
-        warehouse.append("span_shares", catalogs.fold_spans(_only(spans, names), "source_file"), shuffled=True)
+
+    def build(files: DataFrame) -> None:
+        spans = _only(warehouse.read("span_fact"), files)
+        warehouse.append("span_shares", catalogs.fold_spans(spans, "source_file"), shuffled=True)
+
+    _advance(warehouse, "span_fact", "span_shares", build, lambda files: _folded(_only(warehouse.read("span_shares"), files), "span_count"))
 
 
 def sync_span_dimension(warehouse: Warehouse, now=None) -> None:
-    """Span dimension from the stored shares; the spans of files that were folded before are not read."""
+    """Span dimension from the stored shares, where any are new; the spans of files that were folded before are not read."""
     fold_spans(warehouse)
-    dimension = catalogs.merge_dimension(warehouse.read("span_shares"), warehouse.read("dim_span"), now)
-    warehouse.replace("dim_span", dimension)
+
+    def build(_: DataFrame) -> None:
+        dimension = catalogs.merge_dimension(warehouse.read("span_shares"), warehouse.read("dim_span"), now)
+        warehouse.replace("dim_span", dimension)
+
+    _advance(warehouse, "span_shares", "dim_span", build)
 
 
-def refresh_api(warehouse: Warehouse, pattern: str) -> list[str]:
+def audit(warehouse: Warehouse) -> DataFrame:
+    """Hold the ledger against the tables, by counts per partition value; returns the entries that this added.
+
+    A file whose rows in a table are not those of the step before, or of its own raw entry, loses its entry, so the next
+    refresh stores it again. A warehouse older than its ledger gets its entries this way.
+    """
+    first = warehouse.next_batch()
+    read, count = warehouse.read, archive.count_per_file
+    for table in RAW_TABLES.values():
+        book, have = read("file_ledger"), count(read(table))
+        # What the load entered is right, what it didn't enter is taken as found. An unread file stays unread.
+        found = have.join(ledger.done(book, table), "source_file", "left_anti")
+        want = ledger.done(book, table).select("source_file", "rows").unionByName(found)
+        wrong = ledger.corrections(book, table, want, have)
+        warehouse.enter(table, wrong.join(want, "source_file", "left_semi"))
+    kind = F.col("kind")
+    steps = {
+        "event_fact_api": (lambda: count(read("raw_api").where(kind != logs.MALFORMED)), lambda: count(read("event_fact_api"))),
+        "cobrand_event_fact": (lambda: count(read("raw_cobrand").where(kind == logs.EVENT)), lambda: count(read("cobrand_event_fact"))),
+        "span_fact": (
+            lambda: count(read("raw_cobrand").where(kind == logs.TRACE)),
+            lambda: count(read("span_fact").where(F.col("depth") == 0)),
+        ),
+        "event_shares": (lambda: count(read("event_fact_api")), lambda: _folded(read("event_shares"), "event_count")),
+        "gap_shares_api": (lambda: count(read("event_fact_api")), lambda: _folded(_gap_shares(warehouse, "api"), "occurrence_count")),
+        "gap_shares_cobrand": (
+            lambda: count(read("cobrand_event_fact")),
+            lambda: _folded(_gap_shares(warehouse, "cobrand"), "occurrence_count"),
+        ),
+        "span_shares": (lambda: count(read("span_fact")), lambda: _folded(read("span_shares"), "span_count")),
+    }
+    for step, (want, have) in steps.items():
+        warehouse.enter(step, ledger.corrections(read("file_ledger"), step, want(), have()))
+    return read("file_ledger").where(F.col("batch") >= first)
+
+
+def refresh_api(warehouse: Warehouse, pattern: str) -> Loaded:
     """Load new API logs and bring fact and catalogs up to date."""
-    paths = load_raw(warehouse, "api", pattern)
+    outcome = load_raw(warehouse, "api", pattern)
     build_api_facts(warehouse)
     sync_api_catalogs(warehouse)
     sync_gap_catalog(warehouse, "api")
-    return paths
+    return outcome
 
 
-def refresh_cobrand(warehouse: Warehouse, pattern: str, now=None) -> list[str]:
+def refresh_cobrand(warehouse: Warehouse, pattern: str, now=None) -> Loaded:
     """Load new Cobrand logs and bring facts, catalog and dimension up to date."""
-    paths = load_raw(warehouse, "cobrand", pattern)
+    outcome = load_raw(warehouse, "cobrand", pattern)
     build_cobrand_facts(warehouse)
     sync_gap_catalog(warehouse, "cobrand")
     sync_span_dimension(warehouse, now)
-    return paths
+    return outcome
 
 
 # --- archive and audit -------------------------------------------------------------------
@@ -236,21 +338,24 @@ def reconcile(warehouse: Warehouse, folders: LogFolders, log_type: str) -> DataF
         nothing = spark.createDataFrame([], "source_file string, rows bigint")
         return archive.reconcile(nothing, nothing, nothing)
     lines = logs.parse_lines(logs.scan_lines(spark, list(found.values()), logs.root_of(spark, folders.of(log_type))))
-    names = list(found)
+    of_files = F.col("source_file").isin(list(found))
     if log_type == "api":
-        loaded = (_only(warehouse.read("event_fact_api"), names),)
+        loaded = (warehouse.read("event_fact_api").where(of_files),)
     else:
-        raw = _only(warehouse.read("raw_cobrand"), names)
-        loaded = (raw.where(F.col("kind") == logs.TRACE), _only(warehouse.read("cobrand_event_fact"), names))
+        raw = warehouse.read("raw_cobrand").where(of_files)
+        loaded = (raw.where(F.col("kind") == logs.TRACE), warehouse.read("cobrand_event_fact").where(of_files))
     return archive.reconcile(
         archive.count_per_file(lines.where(F.col("kind") != logs.MALFORMED)),
         archive.count_per_file(*loaded),
-        _only(_archived(warehouse, folders.archive, log_type), names),
+        _archived(warehouse, folders.archive, log_type).where(of_files),
     )
 
 
 def record(warehouse: Warehouse, folders: LogFolders, log_type: str, now=None) -> None:
-    """Write archived and validated (or failed) files into the manifest."""
+    """Write archived and validated (or failed) files into the manifest.
+
+    A file whose rows are not all in the warehouse loses its ledger entries, so that its facts are built again.
+    """
     counts = reconcile(warehouse, folders, log_type).withColumn("log_type", F.lit(log_type))
     archived = counts.where(F.col("parquet_rows") > 0).select(
         "source_file",
@@ -259,6 +364,11 @@ def record(warehouse: Warehouse, folders: LogFolders, log_type: str, now=None) -
     )
     state = manifest.record_archived(warehouse.read("archive_manifest"), archived, now)
     warehouse.replace("archive_manifest", manifest.record_validation(state, counts, now))
+    short = (F.col("log_type") == log_type) & (F.col("status") == FAILED) & (F.col("warehouse_rows") != F.col("json_rows"))
+    files = warehouse.read("archive_manifest").where(short)
+    if not files.isEmpty():
+        for step in FACTS[log_type]:
+            warehouse.note(step, files.select("source_file"))
 
 
 def record_kept(warehouse: Warehouse, notes: str | None = None) -> None:
@@ -273,10 +383,10 @@ def record_deleted(warehouse: Warehouse, files: DataFrame, now=None) -> None:
     warehouse.replace("archive_manifest", manifest.record_deleted(warehouse.read("archive_manifest"), files, now))
 
 
-def run(warehouse: Warehouse, folders: LogFolders, now=None) -> None:
-    """The whole refresh. Log files are never deleted; see ``manifest.safe_to_purge``."""
-    refresh_api(warehouse, folders.api)
-    refresh_cobrand(warehouse, folders.cobrand, now)
+def run(warehouse: Warehouse, folders: LogFolders, now=None) -> dict[str, Loaded]:
+    """The whole refresh; returns the outcome of each load. Log files are never deleted; see ``manifest.safe_to_purge``."""
+    outcome = {"api": refresh_api(warehouse, folders.api), "cobrand": refresh_cobrand(warehouse, folders.cobrand, now)}
     for log_type in RAW_TABLES:
         archive_logs(warehouse, folders, log_type)
         record(warehouse, folders, log_type, now)
+    return outcome

@@ -13,6 +13,7 @@ _TYPES = {
     "double": T.DoubleType(),
     "boolean": T.BooleanType(),
     "date": T.DateType(),
+    "timestamp": T.TimestampType(),
     "timestamp_ntz": T.TimestampNTZType(),
     "variant": T.VariantType(),
 }
@@ -93,6 +94,11 @@ ARCHIVE_MANIFEST = _schema(
     deleted_at timestamp_ntz, status string, checksum string, notes string"""
 )
 
+FILE_LEDGER = _schema(
+    """step string, source_file string, rows bigint, length bigint, modified_at timestamp, batch bigint,
+    recorded_at timestamp_ntz"""
+)
+
 LOAD_FAILURES = _schema("log_type string, source_file string, reason string, failed_at timestamp_ntz")
 
 # table -> (schema, partition columns). Tables without partition columns are small
@@ -107,6 +113,7 @@ TABLES = {
     "event_shares": (EVENT_SHARES, ("source_file",)),
     "gap_shares": (GAP_SHARES, ("source_system", "source_file")),
     "span_shares": (SPAN_SHARES, ("source_file",)),
+    "file_ledger": (FILE_LEDGER, ("step",)),
     "event_catalog_api": (EVENT_CATALOG_API, ()),
     "capability_catalog": (CAPABILITY_CATALOG, ()),
     "instrumentation_gap_catalog": (INSTRUMENTATION_GAP_CATALOG, ()),

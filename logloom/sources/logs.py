@@ -173,12 +173,13 @@ def rows_per_file(raw: DataFrame) -> DataFrame:
 
 
 def list_files(spark: SparkSession, pattern: str) -> DataFrame:
-    """``(path, source_file, length)`` of the files matching a glob; contents are not read. None may match."""
+    """``(path, source_file, length, modified_at)`` of the files matching a glob; contents are not read. None may match."""
     fs, target = _file_system(spark, pattern)
     if not fs.globStatus(target):
-        return spark.createDataFrame([], "path string, source_file string, length bigint")
+        return spark.createDataFrame([], "path string, source_file string, length bigint, modified_at timestamp")
     files = spark.read.format("binaryFile").load(pattern)
-    return files.select("path", file_key(root_of(spark, pattern)).alias("source_file"), "length")
+    key = file_key(root_of(spark, pattern)).alias("source_file")
+    return files.select("path", key, "length", F.col("modificationTime").alias("modified_at"))
 
 
 def new_files(listing: DataFrame, known: DataFrame) -> DataFrame:

@@ -6,6 +6,9 @@ write makes a new numbered version, and readers take the newest complete one,
 so a table is never overwritten while it is being read.
 """
 
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 from py4j.protocol import Py4JError
@@ -118,6 +121,44 @@ class Warehouse:
             .parquet(f"{self.root}/{table}")
         )
 
+    def add(self, table: str, rows: DataFrame) -> None:
+        """Add rows and leave all earlier ones as they are."""
+        schema, partitions = TABLES[table]
+        rows.select(*schema.names).write.mode("append").option("compression", "zstd").partitionBy(*partitions).parquet(f"{self.root}/{table}")
+
+    @contextmanager
+    def kept(self, rows: DataFrame) -> Iterator[DataFrame]:
+        """The rows, computed once, for as long as a step needs them: a table of the shared storage that goes afterwards."""
+        path = f"{self.root}/steps/{uuid.uuid4().hex}"
+        rows.write.parquet(path)
+        try:
+            yield self.spark.read.schema(rows.schema).parquet(path)
+        finally:
+            fs, target = self._fs(path)
+            fs.delete(target, True)
+
+    def next_batch(self) -> int:
+        """A number above those of all ledger entries."""
+        last = self.read("file_ledger").agg(F.max("batch")).first()[0]
+        return (last or 0) + 1
+
+    def note(self, step: str, files: DataFrame, counts: DataFrame | None = None) -> None:
+        """Enter into the ledger how many rows a step has stored of each of ``files``; without ``counts`` they are taken back."""
+        columns = ["source_file", *(c for c in ("length", "modified_at") if c in files.columns)]
+        entries = files.select(*columns)
+        if counts is None:
+            entries = entries.withColumn("rows", F.lit(None).cast("bigint"))
+        else:
+            entries = entries.join(counts, "source_file", "left").withColumn("rows", F.coalesce("rows", F.lit(0)))
+        self.enter(step, entries)
+
+    def enter(self, step: str, entries: DataFrame) -> None:
+        """Add ledger entries (``source_file``, ``rows``, and the file's length and time where known)."""
+        absent = {f.name: F.lit(None).cast(f.dataType) for f in TABLES["file_ledger"][0] if f.name in ("length", "modified_at")}
+        absent = {name: column for name, column in absent.items() if name not in entries.columns}
+        stamped = entries.withColumns({**absent, "step": F.lit(step), "batch": F.lit(self.next_batch()).cast("bigint"), "recorded_at": F.localtimestamp()})
+        self.add("file_ledger", stamped.hint("rebalance"))
+
     def replace(self, table: str, rows: DataFrame) -> None:
         """Write the next version of a registry."""
         number = max(self._versions(table), default=0) + 1

@@ -15,7 +15,8 @@ def ingest(warehouse: Warehouse, log_type: str, folder: str, checkpoint: str, fi
     ``folder`` is a folder or a glob over folders; files are known by their path below
     it. A file is always read whole within one batch, and a batch replaces the
     partitions of its files, so a batch that is replayed after a failure changes
-    nothing. Facts, shares and registries are brought up to date at the end of each batch, as a batch run does.
+    nothing. Facts, shares and registries are brought up to date at the end of each batch, as a batch run does: the
+    ledger says which files are new, so a batch costs its own size.
     """
     identified = log_type == "cobrand"
     text = warehouse.spark.readStream.schema(T.StructType([T.StructField("value", T.StringType())]))
@@ -24,6 +25,8 @@ def ingest(warehouse: Warehouse, log_type: str, folder: str, checkpoint: str, fi
 
     def load(batch: DataFrame, _: int) -> None:
         warehouse.append(refresh.RAW_TABLES[log_type], logs.raw_table(batch, identified), shuffled=identified)
+        with warehouse.kept(batch.select("source_file").distinct()) as arrived:
+            refresh.note_loaded(warehouse, log_type, arrived)
         if identified:
             refresh.build_cobrand_facts(warehouse)
             refresh.sync_span_dimension(warehouse)

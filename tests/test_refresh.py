@@ -23,7 +23,7 @@ def _counts(warehouse):
 
 EXPECTED = {
     "raw_api": 6, "raw_cobrand": 4, "event_fact_api": 5, "span_fact": 8, "span_context": 8, "cobrand_event_fact": 1,
-    "event_shares": 5, "gap_shares": 5, "span_shares": 4, "event_catalog_api": 2, "capability_catalog": 1, "instrumentation_gap_catalog": 3, "dim_span": 4, "archive_manifest": 2,
+    "event_shares": 5, "gap_shares": 5, "span_shares": 4, "file_ledger": 13, "event_catalog_api": 2, "capability_catalog": 1, "instrumentation_gap_catalog": 3, "dim_span": 4, "archive_manifest": 2,
 }
 
 

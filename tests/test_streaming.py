@@ -18,6 +18,9 @@ def test_three_drops_equal_one_batch(spark, folder, rows):
         columns = [c for c in batch.read(table).columns if c not in ("doc", "discovered_at")]
         assert rows(streamed.read(table), *columns) == rows(batch.read(table), *columns)
     assert streamed.read("span_fact").count() == 6 * 4
+    # One entry of each step and file: no drop did an earlier one's files again.
+    entries = rows(streamed.read("file_ledger"), "step", "source_file", "rows")
+    assert entries == rows(batch.read("file_ledger"), "step", "source_file", "rows") and len(entries) == 7 * 3
 
 
 def test_api_drop(spark, folder):
