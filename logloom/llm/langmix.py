@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logloom.llm.common import blocks, prepare, word_chunks
+from logloom.llm.common import blocks, prepare
 
 BUCKETS = 1 << 14
 _ROWS, _SIZE = 64, 1 << 20
@@ -47,23 +47,46 @@ def _trigrams(texts: list[bytes | None], rows: int) -> np.ndarray:
     holds[run[between]] = True
     keep = ~space | between | (begins & ~holds[run])
     data, row = data[keep].astype(np.uint32), row[keep]
-    code = data[:-2] | data[1:-1] << np.uint32(8) | data[2:] << np.uint32(16)
-    bucket = (code * np.uint32(2654435761)) >> np.uint32(32 - 14)
-    counts = np.bincount(row[1:-1] * BUCKETS + bucket.astype(np.int32), minlength=(rows + 1) * BUCKETS)
+    counts = np.bincount(row[1:-1] * BUCKETS + _buckets(data), minlength=(rows + 1) * BUCKETS)
     return counts[: rows * BUCKETS]
 
 
+def _buckets(data: np.ndarray) -> np.ndarray:
+    """The hashed trigrams of a sequence of bytes, in order."""
+    code = data[:-2] | data[1:-1] << np.uint32(8) | data[2:] << np.uint32(16)
+    return ((code * np.uint32(2654435761)) >> np.uint32(32 - 14)).astype(np.int32)
+
+
+def _long_trigrams(text: bytes) -> np.ndarray:
+    """The same counts for one text, piece by piece; the last two bytes that count go on into the next piece."""
+    counts = np.zeros(BUCKETS, np.int64)
+    last = np.array([32], np.uint8)
+    for at in range(0, len(text) + 1, _SIZE):
+        piece = _PLAIN[np.frombuffer(text[at : at + _SIZE], np.uint8)]
+        ends = at + _SIZE > len(text)
+        data = np.concatenate([last, piece, np.full(int(ends), 32, np.uint8)])
+        space = data == 32
+        keep = ~space
+        keep[0] = True
+        keep[1:] |= ~space[:-1]
+        data = data[keep]
+        if len(data) > 2:
+            counts += np.bincount(_buckets(data.astype(np.uint32)), minlength=BUCKETS)
+        last = data[-2:]
+    return counts
+
+
 def profiles(texts: list[bytes | None]) -> Iterator[tuple[int, int, np.ndarray]]:
     """``(first row, last row + 1, counts)`` by blocks.
 
-    A text longer than a block is counted in pieces that end at white space, without the trigram around each such space.
+    A text longer than a block is counted in pieces, with the counts that it would have in one.
     """
     for start, stop in blocks(texts, _ROWS, _SIZE):
         rows = stop - start
         if rows > 1:
             yield start, stop, _trigrams(texts[start:stop], rows)
         else:
-            yield start, stop, sum((_trigrams([p], 1) for p in word_chunks(texts[start] or b"", _SIZE)), np.zeros(BUCKETS, np.int64))
+            yield start, stop, _long_trigrams(texts[start] or b"")
 
 
 def has_letter(text: bytes | None) -> bool:

@@ -39,8 +39,18 @@ def test_counts_equal_plain_python_also_in_pieces(monkeypatch):
     two = next(langmix.profiles([text, None, text]))[2].reshape(3, -1)
     assert (two[0] == want).all() and (two[2] == want).all() and not two[1].any()
     monkeypatch.setattr(langmix, "_SIZE", 8)
-    pieces = next(langmix.profiles([text]))[2]
-    assert (pieces <= want).all() and want.sum() - pieces.sum() <= 3  # the trigram around the space of each cut
+    for text in (text, b"a" * 8, b" " * 30, b"", b"seven  -", b"no space at any cut of it".replace(b" ", b"x"), b"12345678 a"):
+        monkeypatch.setattr(langmix, "_SIZE", 1 << 20)
+        whole = langmix._trigrams([text], 1)
+        for size in (1, 2, 3, 7, 8):
+            monkeypatch.setattr(langmix, "_SIZE", size)
+            assert (next(langmix.profiles([text]))[2] == whole).all(), (text, size)
+
+
+def test_texts_of_three_mebibytes_count_as_in_one_piece():
+    text = ("Où est, où était la maison? " * 120_000).encode()
+    assert len(text) > 3 << 20
+    assert (next(langmix.profiles([text]))[2] == langmix._trigrams([text], 1)).all()
 
 
 def test_mixture_equals_plain_expectation_maximisation():
