@@ -30,7 +30,8 @@ class Model(NamedTuple):
 def indicators(texts: list[bytes | None]) -> Iterator[tuple[int, int, np.ndarray]]:
     """``(first row, last row + 1, row * DIMENSIONS + bucket of every n-gram in it, once, ascending)`` by blocks.
 
-    Whole texts: one longer than a block is read in pieces that overlap by an n-gram.
+    Whole texts: one longer than a block is read in pieces that overlap by an n-gram, and its words are carried from piece
+    to piece, so that it has the indicators that it would have in one piece.
     """
     for start, stop in blocks(texts, _ROWS, _SIZE):
         rows = stop - start
@@ -40,12 +41,16 @@ def indicators(texts: list[bytes | None]) -> Iterator[tuple[int, int, np.ndarray
             step = _SIZE - max(ORDERS) + 1
             for at in range(0, max(len(whole), 1), step):
                 _mark(seen, [whole[at : at + _SIZE]], rows)
+            _mark_long_repeats(seen, whole)
         else:
-            _mark(seen, [t or b"" for t in texts[start:stop]], rows)
+            data, base = _mark(seen, [t or b"" for t in texts[start:stop]], rows)
+            starts, words = _words(data, base)
+            _mark_repeats(seen, words, base[starts])
         yield start, stop, np.flatnonzero(seen[: rows * DIMENSIONS])
 
 
-def _mark(seen: np.ndarray, texts: list[bytes], rows: int) -> None:
+def _mark(seen: np.ndarray, texts: list[bytes], rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """Mark the byte n-grams; returns the texts' bytes and the first place of each byte's row."""
     data = np.frombuffer(b"".join(texts), np.uint8).astype(np.uint32)
     lengths = np.array([len(t) for t in texts])
     base = np.repeat(np.arange(len(texts), dtype=np.int32) * DIMENSIONS, lengths)
@@ -63,25 +68,33 @@ def _mark(seen: np.ndarray, texts: list[bytes], rows: int) -> None:
                 over = ends - k
                 place[over[(over >= 0) & (over < len(code))]] = rows * DIMENSIONS
             seen[place + bucket.astype(np.int32)] = True
-    _mark_repeats(seen, data, base)
+    return data, base
 
 
-def _mark_repeats(seen: np.ndarray, data: np.ndarray, base: np.ndarray) -> None:
-    """Indicators of word n-grams that are one word n times over: n = 2, 3, 5 and 9, a bucket each."""
-    space = (data == 32) | ((data >= 9) & (data <= 13))
+def _spaces(data: np.ndarray) -> np.ndarray:
+    return (data == 32) | ((data >= 9) & (data <= 13))
+
+
+def _words(data: np.ndarray, base: np.ndarray, own: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Start and hash of every word in the first ``own`` bytes. A hash is a sum over a word's pairs of bytes, so parts of a word add up."""
+    own = len(data) if own is None else own
+    space = _spaces(data)
     first = ~space
     first[1:] &= space[:-1] | (base[1:] != base[:-1])
-    starts = np.flatnonzero(first)
-    if len(starts) < 2:
-        return
-    own = np.where(space, np.uint32(0), data)
-    pair = own.copy()
-    pair[:-1] |= own[1:] << np.uint32(8)
+    starts = np.flatnonzero(first[:own])
+    if not len(starts):
+        return starts, np.zeros(0, np.uint64)
+    byte = np.where(space, np.uint32(0), data)
+    pair = byte.copy()
+    pair[:-1] |= np.where(base[1:] == base[:-1], byte[1:], np.uint32(0)) << np.uint32(8)
     pair *= np.uint32(2246822519)
     pair ^= pair >> np.uint32(15)
-    word = np.add.reduceat(np.where(space, np.uint32(0), pair), starts, dtype=np.uint64)
-    row = base[starts]
-    same = (word[1:] == word[:-1]) & (row[1:] == row[:-1])
+    return starts, np.add.reduceat(np.where(space, np.uint32(0), pair)[:own], starts, dtype=np.uint64)
+
+
+def _mark_repeats(seen: np.ndarray, words: np.ndarray, row: np.ndarray) -> None:
+    """Indicators of word n-grams that are one word n times over: n = 2, 3, 5 and 9, a bucket each."""
+    same = (words[1:] == words[:-1]) & (row[1:] == row[:-1])
     for level in range(4):
         seen[row[: len(same)][same] + (DIMENSIONS - 1 - level)] = True
         gap = 1 << level
@@ -90,6 +103,24 @@ def _mark_repeats(seen: np.ndarray, data: np.ndarray, base: np.ndarray) -> None:
         same = same[gap:] & same[:-gap]
 
 
+def _mark_long_repeats(seen: np.ndarray, text: bytes) -> None:
+    """The same for one text, piece by piece. Eight words, and one that the piece's end may cut, go on into the next piece."""
+    known, inside = np.zeros(0, np.uint64), False
+    for at in range(0, len(text), _SIZE):
+        data = np.frombuffer(text[at : at + _SIZE + 1], np.uint8).astype(np.uint32)  # the last byte is only looked at
+        own = min(_SIZE, len(data))
+        space = _spaces(data)
+        _, words = _words(data, np.zeros(len(data), np.int32), own)
+        if inside and not space[0]:
+            known[-1] += words[0]
+            words = words[1:]
+        known = np.concatenate([known, words])
+        inside = not space[own - 1]
+        done = known[:-1] if inside and at + _SIZE < len(text) else known
+        _mark_repeats(seen, done, np.zeros(len(done), np.int32))
+        known = known[-9:].copy()
+
+
 def descend(index: list[np.ndarray], signs: np.ndarray, ratios: np.ndarray, cost: float, epochs: int, seed: int):
     """Weights and bias of min |w|^2 / 2 + cost * sum(hinge), one coordinate of the dual at a time, in seeded orders."""
     # Values are taken from the ratios when a row's turn comes; only the buckets of the sample are held.

@@ -48,6 +48,38 @@ def test_indicators_equal_plain_sets(monkeypatch):
     assert set(next(nbsvm.indicators([long]))[2]) == whole
 
 
+def plain_repeats(text):
+    words = text.split()
+    return {n for n in (2, 3, 5, 9) if any(len(set(words[i : i + n])) == 1 for i in range(len(words) - n + 1))}
+
+
+def repeats(places):
+    return {n for level, n in enumerate((2, 3, 5, 9)) if nbsvm.DIMENSIONS - 1 - level in places}
+
+
+def test_repeated_words_across_cuts(monkeypatch):
+    random = np.random.default_rng(4)
+    for size in (4, 5, 8):
+        monkeypatch.setattr(nbsvm, "_SIZE", size)
+        for _ in range(300):
+            word = [b"a", b"ab", b"aba", b"longer-than-pieces"][random.integers(4)]
+            text = b"".join(random.choice([word, b"b", b"ab"], p=[0.8, 0.1, 0.1]) + b" " * random.integers(0, 3) for _ in range(random.integers(1, 14)))
+            if len(text) > size:
+                assert repeats(set(next(nbsvm.indicators([text]))[2])) == plain_repeats(text), (size, text)
+
+
+def test_nine_words_around_the_border_of_a_long_text():
+    fill = b" ".join(b"%d" % i for i in range(500_000))
+    for at in range((1 << 20) - 30, (1 << 20) + 4, 3):
+        text = fill[:at] + b" same same same same same same same same same " + fill[at:]
+        assert len(text) > 3 << 20 and repeats(set(next(nbsvm.indicators([text]))[2])) == {2, 3, 5, 9}
+
+
+def test_last_word_does_not_depend_on_the_next_text():
+    blocks = [set((places[places // nbsvm.DIMENSIONS == 0])) for _, _, places in nbsvm.indicators([b"one one", b"x"])]
+    assert repeats(blocks[0]) == {2}
+
+
 def test_descent_reaches_the_optimum_of_the_dual():
     random = np.random.default_rng(2)
     index = [np.sort(random.choice(40, 8, replace=False)) for _ in range(60)]
