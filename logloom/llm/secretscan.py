@@ -2,7 +2,9 @@
 
 import math
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -40,9 +42,31 @@ ALPHABETS = {
     "base62": _UPPER + _LOWER + _DIGITS,
     "base64": _UPPER + _LOWER + _DIGITS + "+/",
     "base64 url": _UPPER + _LOWER + _DIGITS + "-_",
+    "base64 joint": _UPPER + _LOWER + _DIGITS + "+/-_",
 }
+#: Signs at which a run is also split: it may be a path, or words joined by hyphens or underscores, with a key as one part.
+_SPLITS = tuple(re.compile(f"[^{signs}]+") for signs in ("/+", "_-", "/+_-"))
+_SIGN = re.compile("[/+_-]")
 _SYMBOLS = {name: frozenset(symbols) for name, symbols in ALPHABETS.items()}
-_PLACE = {name: {c: i for i, c in enumerate(symbols)} for name, symbols in ALPHABETS.items()}
+
+
+def _by_byte(values: dict[str, int]) -> np.ndarray:
+    out = np.zeros(128, np.int64)
+    for symbol, value in values.items():
+        out[ord(symbol)] = value
+    return out
+
+
+_PLACE = {name: _by_byte({c: i for i, c in enumerate(symbols)}) for name, symbols in ALPHABETS.items()}
+_KIND = {c: i for i, symbols in enumerate((_DIGITS, _LOWER, _UPPER, "+/-_")) for c in symbols}
+#: Kinds of symbols (digits, lower, upper, signs) of each alphabet, and how often neighbours differ in kind in a patterned
+#: token: in words, numbers and identifiers of one case at most every fifth time, in CamelCase with numbers every second time.
+_KINDS_OF = {name: {_KIND[c] for c in symbols} for name, symbols in ALPHABETS.items()}
+_KIND_OF_BYTE = _by_byte(_KIND)
+_CHANGES = {name: 0.2 if not {1, 2} <= kinds else 0.5 for name, kinds in _KINDS_OF.items()}
+_SAME_KIND = {
+    name: sum((sum(_KIND[c] == kind for c in ALPHABETS[name]) / len(ALPHABETS[name])) ** 2 for kind in kinds) for name, kinds in _KINDS_OF.items()
+}
 _REJECT = 1e-3
 _BINS_A_DECADE, _BINS = 20, 800
 
@@ -73,34 +97,45 @@ def encoding(token: str) -> str | None:
     return next((name for name, known in _SYMBOLS.items() if symbols <= known), None)
 
 
+def _fisher(*chances: float) -> float:
+    """One p-value of several independent ones."""
+    half = -sum(math.log(max(p, 1e-300)) for p in chances)
+    return math.exp(-half) * sum(half**i / math.factorial(i) for i in range(len(chances)))
+
+
 def surprise(token: str) -> float:
     """How unlikely it is that a patterned token of this length looks as random as this one: a p-value, 1 if it is no candidate.
 
-    Three tests against uniform, independent symbols of the inferred alphabet: chi-squared of the symbol counts, runs above
-    and below the alphabet's middle, correlation of neighbours. Where Fisher's combination rejects randomness, or for plain
-    numbers, the answer is 1. Otherwise it is the chance that a token whose symbols are as unequal as letters of a language
-    (sum of squared shares 0.0655) reaches a chi-squared value as low. It falls with the length, so short tokens, of which
-    the tests can't say much, need not be excluded by rule.
+    Three tests against uniform, independent symbols of the inferred alphabet: chi-squared of the symbol counts; runs, of
+    digits, lower and upper letters and signs, or, in an alphabet of one such kind, above and below its middle; correlation of
+    neighbours. Where Fisher's combination rejects randomness, or for plain numbers, the answer is 1. Otherwise it combines,
+    in the same way, the chances that a patterned token does as well: that symbols as unequal as letters of a language (sum
+    of squared shares 0.0655) reach a chi-squared value as low, and, where the alphabet has several kinds, that words,
+    numbers and identifiers change between kinds as often. Both fall with the length, so short tokens, of which the tests
+    can't say much, need not be excluded by rule.
     """
     token = token.rstrip("=")
     name = encoding(token)
     if name is None or name == "decimal" or len(token) < MIN_TOKEN:
         return 1.0
-    place, k, n = _PLACE[name], len(ALPHABETS[name]), len(token)
-    x = np.fromiter((place[c] for c in token), np.float64, n)
-    counts = np.bincount(x.astype(np.int64), minlength=k)
-    chi = float(((counts - n / k) ** 2).sum() * k / n)
+    symbols, k, n = np.frombuffer(token.encode(), np.uint8), len(ALPHABETS[name]), len(token)
+    x = _PLACE[name][symbols]
+    counts = np.bincount(x, minlength=k)
+    chi = float(counts @ counts) * k / n - n
     uniform = 1 - _normal(_chi_root(chi, k - 1, 0.0))
-    high = x >= k / 2
-    changes = int((high[1:] != high[:-1]).sum())
-    runs = math.erfc(abs(changes - (n - 1) / 2) / math.sqrt((n - 1) / 4) / math.sqrt(2))
+    several = len(_KINDS_OF[name]) > 1
+    kind = _KIND_OF_BYTE[symbols] if several else x >= k / 2
+    changes, expected = int(np.count_nonzero(kind[1:] != kind[:-1])), 1 - _SAME_KIND[name] if several else 0.5
+    runs = math.erfc(abs(changes - (n - 1) * expected) / math.sqrt((n - 1) * expected * (1 - expected)) / math.sqrt(2))
     centred = x - (k - 1) / 2
     serial = math.erfc(abs(float(centred[1:] @ centred[:-1])) / ((k * k - 1) / 12 * math.sqrt(n - 1)) / math.sqrt(2))
-    half = -sum(math.log(max(p, 1e-300)) for p in (uniform, runs, serial))
-    fisher = math.exp(-half) * (1 + half + half * half / 2)
-    if fisher < _REJECT:
+    if _fisher(uniform, runs, serial) < _REJECT:
         return 1.0
-    return _normal(_chi_root(chi, k - 1, n * max(0.7, 0.0655 * k - 1)))
+    even = _normal(_chi_root(chi, k - 1, n * max(0.7, 0.0655 * k - 1)))
+    if not several:
+        return even
+    rate = _CHANGES[name]
+    return _fisher(even, _normal(((n - 1) * rate - changes + 0.5) / math.sqrt((n - 1) * rate * (1 - rate))))
 
 
 def _bin(p: float) -> int:
@@ -114,11 +149,27 @@ def length_class(n: int) -> int:
 
 
 def random_tokens(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int]]:
-    """(start, end, length class, bin of the p-value) of every token that no span of ``taken`` overlaps."""
+    """(start, end, length class, bin of the p-value) of every token that no span of ``taken``, sorted by start, overlaps.
+
+    A run of token characters is read whole, split at ``/+``, at ``_-`` and at all four; what counts is the reading with the
+    smallest p-value (the longest parts among equal ones), which is multiplied by the number of candidates in the run.
+    """
+    starts, ends = [s for s, _, _ in taken], list(accumulate((e for _, e, _ in taken), max))
+
+    def free(start: int, end: int) -> bool:
+        before = bisect_left(starts, end)
+        return end - start >= MIN_TOKEN and (not before or ends[before - 1] <= start)
+
     found = []
     for m in _TOKEN.finditer(text):
-        if not any(s < m.end() and e > m.start() for s, e, _ in taken):
-            found.append((m.start(), m.end(), length_class(m.end() - m.start()), _bin(surprise(m.group()))))
+        at, run = m.start(), m.group()
+        readings = [[(at, m.end())]]
+        if _SIGN.search(run):
+            readings += [[(at + part.start(), at + part.end()) for part in split.finditer(run)] for split in _SPLITS]
+        readings = [[span for span in spans if free(*span)] for spans in readings]
+        p = {span: surprise(text[span[0] : span[1]]) for span in dict.fromkeys(span for spans in readings for span in spans)}
+        best = min((spans for spans in readings if spans), key=lambda spans: min(p[s] for s in spans), default=[])
+        found += [(start, end, length_class(end - start), _bin(min(1.0, p[start, end] * len(p)))) for start, end in best]
     return found
 
 

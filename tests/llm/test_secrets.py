@@ -93,3 +93,51 @@ def test_odd_rows(spark, odd, none):
     rows = secretscan.find(odd).collect()
     assert len(rows) == odd.count() and not any(r.spans for r in rows)
     assert secretscan.find(none).count() == 0
+
+
+def test_planted_keys_are_found_where_a_tenth_of_the_tokens_is_secret(spark):
+    """In paths, behind hyphens and underscores, and with both kinds of signs."""
+    random.seed(9)
+    words = "account payment internal service report customer invoice number update delete request response stream catalog".split()
+
+    def key(name, n):
+        return "".join(random.choice(secretscan.ALPHABETS[name]) for _ in range(n))
+
+    cases = {("base62", 40): "see com/v1/user-keys/%s now", ("base62", 28): "hooks/T_1/%s", ("base64 joint", 44): "x %s y", ("hex upper", 40): "id-%s."}
+    rows, planted = [], {}
+    for i in range(2000):
+        text = " ".join(random.choice("_-/").join(random.choice(words) for _ in range(random.randint(4, 6))) for _ in range(3))
+        if i % 5 == 0:
+            (name, n), form = list(cases.items())[i // 5 % 4]
+            secret = key(name, n)
+            planted[i] = ((name, n), secret)
+            text += " " + form % secret
+        rows.append((i, text))
+    found = secretscan.find(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    texts = dict(rows)
+    hit = {r.id for r in found for s in r.spans if r.id in planted and planted[r.id][1].strip("-_") in texts[r.id][s.start : s.end]}
+    for case in cases:
+        own = {i for i, (c, _) in planted.items() if c == case}
+        assert len(hit & own) >= 0.9 * len(own), (case, len(hit & own), len(own))
+    assert sum(len(r.spans) for r in found if r.id not in planted) <= 0.02 * len(planted)
+
+
+def test_many_spans_in_one_text_take_linear_time():
+    import time
+
+    def seconds(n):
+        text = "token=abcdef0 the-same-words-as-in-every-other-place " * n
+        own = secretscan.base_spans(text)
+        assert len(own) == n
+        start = time.process_time()
+        assert len(secretscan.random_tokens(text, own)) == n
+        return time.process_time() - start
+
+    assert seconds(8000) < 12 * max(seconds(2000), 0.02)
+
+
+def test_tokens_next_to_spans(spark):
+    key = "Zk3vQ9xLr7TbW2mYc8PnHs4DfGj6"
+    text = f"{key} 0123456789abcdef01234567 {key} token={key}x {key}/0123456789abcdef01234567"
+    own = secretscan.base_spans(text)
+    assert [text[s:e] for s, e, *_ in secretscan.random_tokens(text, own)] == [key, key, key]
