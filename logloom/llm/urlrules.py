@@ -8,9 +8,9 @@ from pyspark.sql import Window
 from logloom.llm.common import stored
 
 ALLOW, BLOCK = "allow", "block"
-#: The item that marks a transaction as bad; no token is without a colon, so none can be the same.
-_BAD = "bad"
 _SALTS = 64
+#: Copies of a transaction that one row may stand for before it is spread.
+_COPIES = 10_000
 
 
 def parts(url: Column) -> tuple[Column, Column]:
@@ -75,58 +75,104 @@ def mine(
     min_count: int = 20,
     min_share: float = 0.0002,
     min_confidence: float = 0.6,
-    most_items: int = 10,
+    most_items: int = 9,
+    most_tokens: int = 3,
 ) -> DataFrame:
-    """``(antecedent, confidence, count)``: token combinations after which a URL is bad, each of them minimal.
+    """``(antecedent, confidence, count)``: all token combinations after which a URL is bad, each of them minimal.
 
-    ``labelled`` has URLs and a boolean; rows with a null in either are left out. A combination needs
-    ``max(min_count, min_share * rows)`` bad URLs and ``min_confidence``. What a URL brings into the mining is bounded: its
-    ``most_items`` frequent tokens with the largest share of bad URLs, since FP-growth lists every subset of tokens that are
-    frequent together; combinations that only uncut URLs would show are not found. What was found is counted again over all
-    tokens of all rows, and only rules that hold there stay. A rule that contains another one adds nothing and goes.
+    ``labelled`` has URLs and a boolean; rows with a null in either are left out. A combination has ``most_tokens`` tokens at
+    most, ``max(min_count, min_share * rows)`` bad URLs and ``min_confidence``, counted over all tokens of all rows; one that
+    contains another one adds nothing and goes. Equal ones are given once, in any order.
+
+    FP-growth lists every subset of tokens that are frequent together, so what bounds it is the rule's length, not the URL:
+    a bad URL with more than ``most_items`` frequent tokens becomes several transactions that hold each of its combinations of
+    ``most_tokens`` at least once. So FP-growth finds all combinations with enough bad URLs, perhaps more, and those are
+    counted again. Tokens that stand in exactly the same URLs are mined as one and written out at the end.
     """
     rows = labelled.select(F.col(url).alias("url"), F.col(bad).cast("boolean").alias("bad")).dropna()
     # Equal URLs are folded to counts before anything is exploded; a hot URL is one row per label from here on.
     folded = stored(rows.groupBy("url", "bad").agg(F.count("*").alias("n")).withColumn("tokens", tokens(F.col("url"))), "labelled-urls")
     total = folded.agg(F.sum("n")).first()[0] or 0
     least = max(min_count, int(min_share * total))
-    each = folded.select("url", "bad", "n", F.explode("tokens").alias("token"))
+    empty = labelled.sparkSession.createDataFrame([], "antecedent array<string>, confidence double, count long")
+    if least > total:
+        return empty
+    of_bad = F.when(F.col("bad"), F.col("n")).otherwise(0)
+    # Two independent hashes of the URLs that hold a token: equal ones mean the same URLs.
+    same = [F.bit_xor(F.xxhash64(F.lit(seed), "url", "bad")).alias(f"urls{seed}") for seed in (1, 2)]
     weight = (
-        each.groupBy("token")
-        .agg(F.sum("n").alias("all"), F.sum(F.when(F.col("bad"), F.col("n")).otherwise(0)).alias("of_bad"))
+        folded.select("url", "bad", "n", F.explode("tokens").alias("token"))
+        .groupBy("token")
+        .agg(F.sum("n").alias("all"), F.sum(of_bad).alias("of_bad"), *same)
         .filter(F.col("of_bad") >= least)
-        .withColumn("share", F.col("of_bad") / F.col("all"))
     )
+    kinds = ("all", "of_bad", "urls1", "urls2")
+    weight = stored(weight.join(weight.groupBy(*kinds).agg(F.min("token").alias("one")), list(kinds)).select("token", "one", "all"), "frequent-tokens")
+    ones = weight.filter("token = one").select("token", "all")
     # A token that most URLs have would be one task: URLs are dealt over salts, and the few frequent tokens stand under each.
-    salted = weight.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
-    dealt = each.withColumn("salt", F.pmod(F.xxhash64("url"), F.lit(_SALTS)).cast("int"))
-    ranked = dealt.join(salted, ["token", "salt"]).withColumn(
-        "place", F.row_number().over(Window.partitionBy("url", "bad").orderBy(F.desc("share"), "token"))
-    )
+    salted = ones.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+    salt = F.pmod(F.xxhash64("url"), F.lit(_SALTS)).cast("int").alias("salt")
     chosen = (
-        ranked.filter(F.col("place") <= most_items)
-        .groupBy("url", "bad", "n")
+        folded.filter("bad")
+        .select("url", "n", F.explode("tokens").alias("token"), salt)
+        .join(salted, ["token", "salt"])
+        .groupBy("url", "n")
         .agg(F.array_sort(F.collect_list("token")).alias("items"))
-        .groupBy("items", "bad")
+        .select(F.explode(_covering(F.col("items"), most_items, most_tokens)).alias("items"), "n")
+        .groupBy("items")
         .agg(F.sum("n").alias("n"))
     )
-    # FP-growth takes a row per transaction. Equal ones are written out again only for it.
-    baskets = stored(
-        chosen.select(
-            F.when(F.col("bad"), F.concat("items", F.array(F.lit(_BAD)))).otherwise(F.col("items")).alias("items"),
-            F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("copy"),
-        ).select("items"),
-        "baskets",
+    # FP-growth takes a row per transaction. Equal ones are written out again only for it, a bounded number of them at a time.
+    parts_ = chosen.select("items", "n", F.explode(F.expr(f"sequence(0L, (n - 1) div {_COPIES})")).alias("part"))
+    spread = parts_.repartition(F.xxhash64("items", "part")).select(
+        "items", F.explode(F.expr(f"sequence(1L, least({_COPIES}L, n - part * {_COPIES}))")).alias("copy")
     )
-    share = least / max(total, 1)
-    empty = "antecedent array<string>, confidence double, count long"
-    if not total or share > 1 or not baskets.head(1):
-        return labelled.sparkSession.createDataFrame([], empty)
+    baskets = stored(spread.select("items"), "baskets")
     n_baskets = baskets.count()
-    model = FPGrowth(itemsCol="items", minSupport=min(1.0, least / n_baskets), minConfidence=min_confidence).fit(baskets)
-    rules = model.associationRules.filter(F.col("consequent") == F.array(F.lit(_BAD))).select(F.array_sort("antecedent").alias("antecedent"))
-    counted = _recounted(stored(rules, "candidate-rules"), folded, weight.select("token", F.col("all").alias("count")))
-    return _minimal(stored(counted.filter((F.col("count") >= least) & (F.col("confidence") >= min_confidence)), "rules"))
+    if not n_baskets:
+        return empty
+    # The share is put a little lower, so that rounding loses no combination with exactly enough URLs.
+    model = FPGrowth(itemsCol="items", minSupport=max(0.0, min(1.0, (least - 0.5) / n_baskets)), minConfidence=1.0).fit(baskets)
+    sets = model.freqItemsets.filter(F.size("items") <= most_tokens).select(F.array_sort("items").alias("antecedent"))
+    counted = _recounted(stored(sets, "candidate-rules"), folded, ones.withColumnRenamed("all", "count"))
+    rules = _minimal(stored(counted.filter((F.col("count") >= least) & (F.col("confidence") >= min_confidence)), "rules"))
+    return stored(_written_out(rules, weight, most_tokens), "rules-of-all-tokens")
+
+
+def _covering(items: Column, most_items: int, most_tokens: int) -> Column:
+    """Subsets of at most ``most_items`` items that hold every combination of ``most_tokens`` of them at least once.
+
+    The items are cut into groups of a ``most_tokens``-th of ``most_items``; each choice of ``most_tokens`` groups is a subset.
+    """
+    size = max(1, most_items // most_tokens)
+    groups = F.transform(
+        F.sequence(F.lit(0), F.floor((F.size(items) - 1) / size).cast("int")), lambda g: F.slice(items, g * size + 1, F.lit(size))
+    )
+
+    def choices(above: Column, left: int, taken: Column) -> Column:
+        if not left:
+            return F.array(taken)
+        later = F.filter(F.transform(groups, lambda g, i: F.struct(i.alias("i"), g.alias("g"))), lambda x: x["i"] > above)
+        return F.flatten(F.transform(later, lambda x: choices(x["i"], left - 1, F.concat(taken, x["g"]))))
+
+    none = F.array().cast("array<string>")
+    return F.when(F.size(items) <= size * most_tokens, F.array(items)).otherwise(choices(F.lit(-1), most_tokens, none))
+
+
+def _written_out(rules: DataFrame, weight: DataFrame, most_tokens: int) -> DataFrame:
+    """Each rule once for every choice of a token among those that stand in the same URLs as the one mined for them."""
+    members = weight.select(F.col("one"), "token")
+    out = rules.withColumn("antecedent", F.array_sort("antecedent")).withColumn("rest", F.col("antecedent")).withColumn("antecedent", F.array().cast("array<string>"))
+    for _ in range(most_tokens):
+        # Rules that have no token left look none up.
+        out = (
+            out.withColumn("one", F.get("rest", F.lit(0)))
+            .join(members, "one", "left")
+            .withColumn("antecedent", F.when(F.col("token").isNull(), F.col("antecedent")).otherwise(F.concat("antecedent", F.array("token"))))
+            .withColumn("rest", F.when(F.size("rest") > 0, F.slice("rest", F.lit(2), F.size("rest"))).otherwise(F.col("rest")))
+            .drop("one", "token")
+        )
+    return out.select(F.array_sort("antecedent").alias("antecedent"), "confidence", "count")
 
 
 def _recounted(rules: DataFrame, folded: DataFrame, common: DataFrame) -> DataFrame:
@@ -145,7 +191,7 @@ def _recounted(rules: DataFrame, folded: DataFrame, common: DataFrame) -> DataFr
 
 
 def _minimal(rules: DataFrame) -> DataFrame:
-    """Rules that contain no other rule: each looks its own subsets up (an antecedent has ``most_items`` tokens at most)."""
+    """Rules that contain no other rule: each looks its own subsets up (an antecedent has few tokens)."""
     larger = rules.filter(F.size("antecedent") > 1)
     proper = F.expr(
         "transform(sequence(1, cast(power(2, size(antecedent)) as int) - 2),"

@@ -94,6 +94,57 @@ def test_confidence_counts_urls_that_rank_other_tokens_higher(spark):
         assert r["count"] == sum(over) and abs(r.confidence - sum(over) / len(over)) < 1e-9
 
 
+def test_rules_of_urls_with_thirty_frequent_tokens(spark):
+    """The bad pair's tokens have low shares of their own, and each URL brings thirty frequent tokens."""
+    import random
+
+    random.seed(5)
+    rows = []
+    for i in range(400):
+        values = [random.randrange(2) for _ in range(15)]
+        bad = values[3] == values[11] == 1 and random.random() < 0.95 or random.random() < 0.05
+        rows.append((f"http://h.x/?" + "&".join(f"k{k}={v}" for k, v in enumerate(values)), bad))
+    df = spark.createDataFrame(rows * 2, "url string, bad boolean").repartition(3)
+    mined = {tuple(r.antecedent): r for r in urlrules.mine(df, min_count=60, min_share=0.0, min_confidence=0.85).collect()}
+    tokens = {r.url: set(r.t) for r in df.select("url", urlrules.tokens(F.col("url")).alias("t")).distinct().collect()}
+    want = plain_rules([(tokens[u], b) for u, b in rows * 2], 60, 0.85)
+    assert set(mined) == want and ("pair:k11=1", "pair:k3=1") in want
+
+
+def test_covering_holds_every_combination(spark):
+    for n, most, length in ((0, 9, 3), (1, 9, 3), (9, 9, 3), (10, 9, 3), (17, 9, 3), (11, 6, 2), (7, 2, 3)):
+        items = [f"t{i:02}" for i in range(n)]
+        df = spark.createDataFrame([(items,)], "items array<string>")
+        found = df.select(urlrules._covering(F.col("items"), most, length).alias("c")).first().c
+        assert all(len(c) <= max(most, length) and len(set(c)) == len(c) for c in found)
+        for combo in itertools.combinations(items, length):
+            assert any(set(combo) <= set(c) for c in found), (n, combo)
+
+
+def test_hot_transaction_is_spread(spark, monkeypatch):
+    monkeypatch.setattr(urlrules, "_COPIES", 7)
+    rows = [("http://a.net/x", True)] * 100 + [("http://a.net/y", False)] * 100
+    mined = {tuple(r.antecedent): r["count"] for r in urlrules.mine(spark.createDataFrame(rows, "url string, bad boolean")).collect()}
+    assert mined == {("path:0:x",): 100}
+
+
+def test_query_blocks_by_what_it_mined(spark, tmp_path):
+    """Labels planted on hosts, so that the query's own join gives rules."""
+    pages = table(spark, SF, "pages").cache()
+    host = urlrules.parts(F.col("url"))[0]
+    top = pages.filter("url is not null").groupBy(host.alias("host")).count().orderBy(F.desc("count"), "host").limit(3).collect()
+    hot = top[0].host
+    poor = (host == hot).cast("int")
+    pages.write.parquet(f"{tmp_path}/pages.parquet")
+    pages.select(F.col("page_id").alias("doc_id"), (1 - F.coalesce(poor, F.lit(0))).alias("quality"), F.lit(0).alias("toxic")).write.parquet(
+        f"{tmp_path}/labels.parquet"
+    )
+    assert top[0]["count"] >= 20
+    rows = queries.op10_urls(spark, str(tmp_path)).collect()
+    judged = [r for r in rows if r.rule is None]
+    assert all(r.verdict == ("block" if r.host == hot else "allow") for r in judged) and any(r.host == hot for r in judged)
+
+
 def test_odd_rows(spark):
     urls = [None, "", "no scheme", "://", "http://", "HTTP://A.B.Com", "http://x?q=1#f", "http://x/a//b/?a=1&a=2&&=#", "http://" + "a" * 100_000 + "/p",
             "http://a.b/\n/c", "http://e.org/es/", "x://example.org/es/1"]
