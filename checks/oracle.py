@@ -404,5 +404,6 @@ ORACLES = {name: re.sub(r"count_if\(", "count(*) filter (", _with(body)) for nam
 # The same reports between the times of two rows.
 _EDGES = f"from api where event_id in {fx.BOUND_EVENTS}"
 _RANGE = f"t between (select min(t) {_EDGES}) and (select max(t) {_EDGES})"
+ORACLES["kpis_rollup"] = f"select * exclude (requests) from ({ORACLES['kpis']})"
 for _name in ("kpis", "events_over_time", "failure_table", "service_health"):
     ORACLES[f"{_name}_range"] = ORACLES[_name].replace(_IN, _RANGE)

@@ -1,11 +1,13 @@
 """The registered queries: each runs library operators over whole tables."""
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from checks import fixtures as fx
 from checks.fixtures import END, START
 from logloom import functions as fn
-from logloom.operators import archive, catalogs, flatten, gaps, investigate, manifest, metrics, traces
+from logloom.operators import archive, catalogs, flatten, gaps, investigate, manifest, metrics, rollups, traces
 from logloom.operators.upsert import upsert
 from logloom.sources import ledger, logs
 
@@ -408,6 +410,17 @@ def _rounded(df, *columns):
     return df.withColumns({c: F.round(c, 6) for c in columns})
 
 
+@query
+def kpis_rollup(spark, d):
+    """The same figures from daily rollups of two separate loads, without the estimated one."""
+    events, spans = _both(spark, d)
+    halves = [(events.where(part), spans.where(part)) for part in ("hour(parsed_event_time) < 12", "hour(parsed_event_time) >= 12")]
+    figures = rollups.merge_figures(reduce(DataFrame.unionByName, [rollups.daily_figures(*half) for half in halves]))
+    users = rollups.merge_users(reduce(DataFrame.unionByName, [rollups.daily_users(half[0]) for half in halves]))
+    found = rollups.kpis(figures, users, START[:10], END[:10]).drop("requests")
+    return _rounded(found, "avg_duration_ms", "error_rate", "success_rate")
+
+
 @query
 def structured_rate(spark, d):
     return _rounded(metrics.structured_rate(fx.api_facts(spark, d), START, END), "structured_rate")
