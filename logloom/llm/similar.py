@@ -1,5 +1,6 @@
 """Pairs of texts that share most of their word shingles: candidates by SimHash and by min-hash bands, each pair checked exactly."""
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,8 +17,12 @@ from logloom.llm.components import connected
 #: Bands and minima in each. A pair of similarity s shares a band with a chance of 1 - (1 - s^8)^40: at 0.8 one of 1,500 is missed,
 #: at 0.85 one of 300,000; at 0.5 one of seven shares one, so that a common passage alone gathers few texts.
 BANDS, ROWS = 40, 8
-#: A band of up to so many texts is compared across its classes; a wider one is split by the texts' other bands first, at most so often.
-WIDE, SPLITS = 32, 1
+#: A band of up to so many texts is compared across its classes; the texts of wider ones are joined by the rarest of their shingles.
+WIDE = 32
+#: Shingles are ordered by how often texts have one of their bucket: so many buckets, as a power of two.
+_BUCKETS = 18
+#: Texts of one shingle that a task compares with as many others.
+_CHUNK = 256
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _FACTORS = np.random.default_rng(17).integers(0, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -116,63 +121,114 @@ def groups(df: DataFrame, text: str = "text", shingle: int = 5, least: float = 0
     alone would need 17 bits and more of 64 at 0.8, where pigeonring's segments are 3 bits wide and choose nothing.
     No candidate becomes a link unchecked.
 
-    First each text is checked with the smallest of its band, so a group of copies isn't all of its pairs. A band that still holds
-    several classes is compared across them if it has at most ``WIDE`` texts. A wider one, such as the texts that hold one passage,
-    is split: one text of each of its classes goes on into parts by its other bands, and the same is done to the parts. Texts that share
-    most of their shingles share several bands (six or seven of 40 at 0.8), others hardly a second one. So no step makes more than
-    ``WIDE`` pairs of a text in a band. What stays together after ``SPLITS`` splits has been compared with its smallest text each time.
+    First each text is checked with the smallest of its band, so a group of copies isn't all of its pairs. Texts whose SimHashes are
+    reached from each other by such steps are a band as well. A band that still holds several classes is compared across them if it
+    has at most ``WIDE`` texts. The texts of all wider ones, such as those that hold one passage, go through ``_across``, which finds
+    every pair of two classes that reaches ``least``: so a pair that shares a band is in one class, or was compared, or can't reach it.
 
     Texts are told apart by 128 bits of a digest. Null and empty texts are one class, as all texts without a word are.
     """
     prepare(df.sparkSession)
     texts = df.select(node_of(text).alias("node"), F.coalesce(F.col(text).cast("binary"), F.lit(b"")).alias("text"))
     known = stored(_signatures(texts, shingle), "signatures")
-    keyed = known.select("node", "n", F.explode("keys").alias("key"))
-    members = stored(_shared(keyed), "band-members")
-
     prints = stored(known.groupBy("fingerprint").agg(F.min("node").alias("least")), "fingerprints")
     equal = known.join(prints, "fingerprint").select("node", "least")
-    near = simhash.links(prints.select("fingerprint"), distance)
+    near = stored(simhash.links(prints.select("fingerprint"), distance).select("a", "b"), "links-of-fingerprints")
     first, second = (prints.select(F.col("fingerprint").alias(c), F.col("least").alias(f"node_{c}")) for c in "ab")
+    reached = connected(near).select(F.col("node").alias("fingerprint"), F.col("root").alias("first"))
     near = near.join(first, "a").join(second, "b").select(F.col("node_a").alias("node"), F.col("node_b").alias("least"))
     alike = stored(_ordered(equal.unionAll(near).filter("node <> least"), "node", "least"), "pairs-of-fingerprints")
 
+    key = F.xxhash64(F.lit("fingerprint"), F.coalesce("first", "fingerprint")).alias("key")
+    printed = known.join(reached, "fingerprint", "left").select("node", "n", key)
+    members = stored(_shared(known.select("node", "n", F.explode("keys").alias("key")).unionAll(printed)), "band-members")
+
     # Texts are moved once, and only those stay that some candidate pair may name.
     named = members.select("node").unionAll(alike.select(F.col("a").alias("node"))).unionAll(alike.select(F.col("b").alias("node")))
     needed = stored(texts.join(named.distinct(), "node", "left_semi").dropDuplicates(["node"]), "texts-needed")
-    others = members.select("node", F.col("key").alias("other"))
 
     def checked(pairs: DataFrame, name: str) -> DataFrame:
         return stored(_checked(stored(pairs.distinct(), f"pairs-{name}"), needed, shingle, least), f"links-{name}")
 
-    links, classes = None, None
-    for level in range(SPLITS + 1):
-        placed = _placed(members, classes) if level else members.withColumn("root", F.col("node"))
-        star = placed.filter("root <> least.root" if level else "node <> least.node").filter(_may_reach(F.col("n"), F.col("least.n"), least))
-        star = _ordered(star.select("node", F.col("least.node").alias("least")), "node", "least")
-        found = checked(star.unionAll(alike) if not level else star, f"star-{level}")
-        links = found if links is None else links.unionAll(found)
-        classes = stored(connected(links), f"text-classes-{level}")
-        several = stored(_open(members, classes), f"members-open-{level}")
-        narrow = several.filter(F.col("size") <= WIDE)
-        a, b = (narrow.select("key", F.col("root").alias(f"root_{c}"), F.col("node").alias(c), F.col("n").alias(f"n_{c}")) for c in "ab")
-        across = a.join(b, "key").filter(F.col("root_a") < F.col("root_b")).filter(_may_reach(F.col("n_a"), F.col("n_b"), least))
-        found = checked(_ordered(across.select("a", "b"), "a", "b"), f"across-{level}")
-        links = links.unionAll(found)
-        if level == SPLITS:
-            break
-        # Of a class one text stands for all; in another band it is another one.
-        wide = several.filter(F.col("size") > WIDE).groupBy("key", "root").agg(F.min(F.struct("node", "n")).alias("first")).select("key", "first.*")
-        wide = stored(wide, f"members-wide-{level}")
-        if wide.isEmpty():
-            break
-        parts = wide.join(others, "node").filter("key <> other")
-        # The same bands in whichever order are the same part.
-        parts = parts.select("node", "n", F.expr("xxhash64(least(key, other), greatest(key, other))" if not level else "xxhash64(key, other)").alias("key"))
-        members = stored(_shared(parts.distinct()), f"band-members-{level + 1}")
-        classes = stored(connected(links), f"text-classes-{level}-across")
-    found = stored(connected(links), "text-groups")
-    return known.select("node").join(found, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
+    star = members.filter("node <> least.node").filter(_may_reach(F.col("n"), F.col("least.n"), least))
+    links = checked(_ordered(star.select("node", F.col("least.node").alias("least")), "node", "least").unionAll(alike), "star")
+    several = stored(_open(members, stored(connected(links), "text-classes-star")), "members-open")
+    narrow = several.filter(F.col("size") <= WIDE)
+    a, b = (narrow.select("key", F.col("root").alias(f"root_{c}"), F.col("node").alias(c), F.col("n").alias(f"n_{c}")) for c in "ab")
+    across = a.join(b, "key").filter(F.col("root_a") < F.col("root_b")).filter(_may_reach(F.col("n_a"), F.col("n_b"), least))
+    links = links.unionAll(checked(_ordered(across.select("a", "b"), "a", "b"), "narrow"))
+    classes = stored(connected(links), "text-classes")
+
+    # Links within narrow bands have closed some of the wide ones.
+    wide = _open(several.filter(F.col("size") > WIDE).select("key", "node", "n"), classes)
+    wide = stored(wide.select("node", "n", "root").distinct(), "members-wide")
+    if not wide.isEmpty():
+        pairs = _across(stored(wide.join(needed, "node"), "texts-wide"), shingle, least)
+        classes = stored(connected(links.unionAll(checked(pairs, "wide"))), "text-groups")
+    return known.select("node").join(classes, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
+
+
+def _across(texts: DataFrame, shingle: int, least: float) -> DataFrame:
+    """Pairs ``(a, b)`` of the distinct ``texts(node, n, root, text)`` with different roots: all that reach ``least``, and some more.
+
+    Prefix filtering: in one order of all shingles, two sets that share so much share one of their first ``n - least * n + 1``. Any order
+    will do; rare shingles first keeps the texts apart that have a common passage and words of their own. The order is by a count
+    of hash buckets, a table of bounded size, and then by the hash. A shingle's texts are compared in chunks, so no task holds them all.
+    """
+    spark = texts.sparkSession
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << _BUCKETS, np.int64)
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                np.add.at(total, _bucket(shingles(text, shingle)), 1)
+        bucket = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(total[bucket])], ["bucket", "n"])
+
+    counted = texts.select("text").mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(1 << _BUCKETS, np.int64)
+    counts[counted["bucket"].to_numpy()] = counted["n"].to_numpy()
+    shared = spark.sparkContext.broadcast(counts)
+
+    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = shared.value
+        for batch in batches:
+            for i, text in enumerate(batch.column(3).to_pylist()):
+                tokens, places = _prefix(shingles(text, shingle), counts, least)
+                row = np.full(len(tokens), i)
+                columns = [pa.array(tokens.view(np.int64)), pa.array(places), *(batch.column(c).take(pa.array(row)) for c in range(3))]
+                yield pa.RecordBatch.from_arrays(columns, ["token", "place", "node", "n", "root"])
+
+    held = texts.select("node", "n", "root", "text").mapInArrow(prefixes, "token long, place long, node binary, n long, root binary")
+    held = stored(held, "prefixes")
+    # The texts of a shingle's largest class only meet the others, which are few where many copies of one text have it.
+    counted = held.groupBy("token", "root").agg(F.count("*").alias("n"))
+    several = counted.groupBy("token").agg(F.sum("n").alias("all"), F.max(F.struct("n", "root")).alias("most")).filter(F.col("all") > F.col("most.n"))
+    chunks = [F.ceil(n / _CHUNK).cast("int").alias(c) for n, c in ((F.col("all") - F.col("most.n"), "of_a"), (F.col("all"), "of_b"))]
+    held = stored(held.join(several.select("token", F.col("most.root").alias("main"), *chunks), "token"), "prefixes-shared")
+    digest, columns = F.xxhash64("node"), ("node", "n", "root", "place")
+    x, y = (F.pmod(digest, F.col(c)).cast("int") for c in ("of_a", "of_b"))
+    every_x, every_y = (F.explode(F.sequence(F.lit(0), F.col(c) - 1)) for c in ("of_a", "of_b"))
+    a = held.filter("root <> main").select("token", "main", x.alias("x"), every_y.alias("y"), *[F.col(c).alias(f"{c}_a") for c in columns])
+    b = held.select("token", every_x.alias("x"), y.alias("y"), *[F.col(c).alias(f"{c}_b") for c in columns])
+    pairs = a.join(b, ["token", "x", "y"]).filter("root_a < root_b or root_b = main")
+    pairs = pairs.filter(_may_reach(F.col("n_a"), F.col("n_b"), least))
+    # Of the first shingle that two sets share: what comes after it in either is all that they can share besides.
+    most = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
+    pairs = pairs.filter(most >= F.lit(least / (1 + least)) * (F.col("n_a") + F.col("n_b")) - 1e-6)
+    return _ordered(pairs, "node_a", "node_b")
+
+
+def _bucket(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(64 - _BUCKETS)).astype(np.int64)
+
+
+def _prefix(hashes: np.ndarray, counts: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Of a set's first shingles, rare ones first, those that another text may have, and their places."""
+    often = counts[_bucket(hashes)]
+    order = np.lexsort((hashes, often))[: len(hashes) - math.ceil(least * len(hashes) - 1e-9) + 1]
+    places = np.flatnonzero(often[order] > 1)
+    return hashes[order[places]], places
 
 
 def _shared(keyed: DataFrame) -> DataFrame:
@@ -182,14 +238,6 @@ def _shared(keyed: DataFrame) -> DataFrame:
     return keyed.join(several.select("key", "least"), "key").select("key", "node", "n", "least")
 
 
-def _placed(members: DataFrame, classes: DataFrame) -> DataFrame:
-    """Members with their class, and the class of the smallest text with it."""
-    of = classes.select(F.col("node").alias("of"), F.col("root").alias("its"))
-    rooted = members.join(classes, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    smallest = F.struct("least.node", "least.n", F.coalesce("its", "least.node").alias("root"))
-    return rooted.join(of, F.col("least.node") == F.col("of"), "left").select("key", "node", "n", "root", smallest.alias("least"))
-
-
 def _open(members: DataFrame, classes: DataFrame) -> DataFrame:
     """``(key, node, n, root, size)`` of the keys whose texts are of several classes."""
     placed = members.join(classes, "node", "left").select("key", "node", "n", F.coalesce("root", "node").alias("root"))

@@ -90,6 +90,40 @@ def test_wide_bands_are_split_until_copies_meet(spark, monkeypatch):
     assert kept == kept_by_brute_force(rows)
 
 
+def test_a_wide_band_is_compared_whole(spark, monkeypatch):
+    """All texts in one band: what stands for a class there is like none of the texts that link the others."""
+    monkeypatch.setattr(similar, "WIDE", 4)
+    monkeypatch.setattr(similar, "_CHUNK", 3)
+    monkeypatch.setattr(similar, "bands", lambda hashes: [1])
+    random.seed(7)
+    passage = [f"p{i}" for i in range(60)]
+    rows = []
+    for k in range(30):
+        chain = [f"o{k}-{i}" for i in range(200)]
+        # Neighbours share about 0.85 of their shingles, texts two steps apart less than 0.8; the passage is in all of them.
+        rows += [(10 * k + step, " ".join(passage + chain[14 * step : 14 * step + 110])) for step in random.sample(range(6), 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, SF).select("doc_id").collect()}
+    assert kept == kept_by_brute_force(rows) and 30 < len(kept) < len(rows)
+
+
+def test_prefixes_of_similar_sets_meet():
+    """Whatever the counts of the buckets, sets that share enough have a first shingle in common, and their places allow for it."""
+    rng = np.random.default_rng(9)
+    counts = rng.integers(2, 5, 1 << similar._BUCKETS)
+    for n in (*range(1, 30), 400):
+        for _ in range(40):
+            every = np.unique(rng.integers(0, 1 << 63, 2 * n, np.uint64))
+            a, b = every[:n], every[int(rng.integers(0, n // 4 + 1)) :][: n + int(rng.integers(0, n // 4 + 1))]
+            if similar.similarity(a, b) < 0.8:
+                continue
+            (x, i), (y, j) = (similar._prefix(s, counts, 0.8) for s in (a, b))
+            shared = np.intersect1d(x, y)
+            assert len(shared)
+            most = max(min(len(a) - i[x == t][0], len(b) - j[y == t][0]) for t in shared)
+            assert most >= 0.8 / 1.8 * (len(a) + len(b)) - 1e-6
+
+
 def test_recall_by_band_of_similarity():
     """Of pairs at each similarity, how many share a band."""
     rng = np.random.default_rng(8)
