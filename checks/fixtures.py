@@ -234,12 +234,15 @@ def standalone_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return once(log, {"line": _keyed(log, keys)}).select("source_file", "line")
 
 
-def trace_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The traces behind ``SPANS`` as nested JSON lines, one per order.
+def trace_lines(spark: SparkSession, sf_dir: str, status: Column | None = None) -> DataFrame:
+    """The traces behind ``SPANS`` as nested JSON lines, one per order, or per order of that status.
 
-    Built per row: the child lists are made from the order's own columns.
+    Built per row: the child lists are made from the order's own columns. An order of some bytes becomes a line that takes long to
+    write and to read, so orders are spread first: a file of many has few splits.
     """
-    timed = table(spark, sf_dir, "orders").withColumn("ot", F.expr(_PIECES["{ORDER_TIME}"][0]))
+    orders = table(spark, sf_dir, "orders")
+    orders = (orders if status is None else orders.where(status)).repartition("o_orderkey")
+    timed = orders.withColumn("ot", F.expr(_PIECES["{ORDER_TIME}"][0]))
     o = timed.withColumn("event_time", F.expr(_PIECES["{LT}"][0])).withColumn("day", F.expr(_PIECES["{LDAY}"][0]))
     key, cust = F.col("o_orderkey"), F.col("o_custkey")
     text = lambda c: c.cast("string")

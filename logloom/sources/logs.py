@@ -70,8 +70,10 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     parsed = lines.withColumn("_parsed", F.try_parse_json(wrapped))
     complete = F.col("line").startswith("{") & (F.try_variant_get("_parsed", "$[1]", "string") == _END_OF_LINE)
     documents = parsed.withColumn("doc", F.when(complete, F.try_variant_get("_parsed", "$[0]", "variant")))
+    # Nearly every trace is an object, which is seen without building its tree anew.
     kind = (
         F.when(F.col("doc").isNull(), MALFORMED)
+        .when(F.try_variant_get("doc", f'$["{TRACE_KEY}"]', f"struct<`{TRACE_KEY}`: boolean>").isNotNull(), TRACE)
         .when(subtree(F.col("doc"), TRACE_KEY).isNotNull(), TRACE)
         .otherwise(EVENT)
     )
