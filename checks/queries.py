@@ -652,7 +652,7 @@ def reconcile_cobrand(spark, d):
     """A Cobrand line is loaded as a trace or as a standalone event."""
     lines = fx.trace_lines(spark, d).unionByName(fx.standalone_lines(spark, d))
     checked = logs.parse_lines(lines)
-    loaded = archive.count_per_file(checked.where(F.col("kind") == "trace"), checked.where(F.col("kind") == "event"))
+    loaded = archive.count_per_file(checked.where(F.col("kind").isin("trace", "event")))
     read = archive.count_per_file(lines)
     return archive.reconcile(read, loaded, read)
 

@@ -44,3 +44,22 @@ def test_hot_ids_are_cut_off_before_the_shuffle(spark):
 def test_top_n_is_not_a_full_sort(spark):
     plan = QUERIES["top_errors"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan
+
+
+def _parses(plan):
+    """How often a plan reads lines as JSON."""
+    return len(re.findall(r"parse_json\(", plan))
+
+
+@pytest.mark.parametrize("name", ["reconcile_cobrand"])
+def test_trace_lines_are_read_back_once(spark, name):
+    plan = {n: QUERIES[n](spark, SF)._jdf.queryExecution().optimizedPlan().toString() for n in (name, "trace_flatten")}
+    lines = 2 if name == "reconcile_cobrand" else 1  # Trace lines and standalone lines are two inputs of one union.
+    assert _parses(plan[name]) <= lines * _parses(plan["trace_flatten"])
+
+
+@pytest.mark.parametrize("name", ["trace_errors", "span_context", "trace_fields", "trace_flatten"])
+def test_orders_are_spread_before_they_become_lines(spark, name):
+    """A file of one split is rendered and parsed by more than one task."""
+    plan = QUERIES[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"RepartitionByExpression \[o_orderkey", plan)
