@@ -51,7 +51,7 @@ def _parses(plan):
     return len(re.findall(r"parse_json\(", plan))
 
 
-@pytest.mark.parametrize("name", ["reconcile_cobrand"])
+@pytest.mark.parametrize("name", ["reconcile_cobrand", "trace_incremental"])
 def test_trace_lines_are_read_back_once(spark, name):
     plan = {n: QUERIES[n](spark, SF)._jdf.queryExecution().optimizedPlan().toString() for n in (name, "trace_flatten")}
     lines = 2 if name == "reconcile_cobrand" else 1  # Trace lines and standalone lines are two inputs of one union.
