@@ -17,6 +17,8 @@ from logloom.llm.common import Memo, prepare
 SPACE = "▁"
 _NORMAL, _BYTE, _UNIGRAM, _BPE = 1, 6, 1, 2
 _SLICE = 1 << 20
+#: What a worker that has done its task may keep for the next: so many remembered chunks and neighbours (about 15 MB).
+_KEPT = 1 << 16
 
 
 class Pieces:
@@ -70,6 +72,12 @@ class Pieces:
     def _ids(self, chunk: str) -> bytes:
         return array("i", self.best_path(chunk)).tobytes()
 
+    def rest(self) -> None:
+        """Forget what was remembered, if it is much: the worker lives on in steps that don't need it."""
+        if len(self.memo) + len(self.memo.last) + len(self.joins) > _KEPT:
+            self.memo = Memo(self._ids)
+            self.joins.clear()
+
     def best_path(self, chunk: str) -> list[int]:
         """Ids of the best segmentation of a chunk, in one pass over its characters.
 
@@ -197,6 +205,7 @@ def encode(df: DataFrame, path: str, text: str = "text", keep: tuple[str, ...] =
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[1:], ids, counts, pa.array(same)], [*batch.schema.names[1:], "ids", "n_ids", "round_trip"]
             )
+        pieces.rest()
 
     fields = [
         T.StructField("ids", T.ArrayType(T.IntegerType())),

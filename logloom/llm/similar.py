@@ -152,19 +152,19 @@ def groups(df: DataFrame, text: str = "text", shingle: int = 5, least: float = 0
 
     star = members.filter("node <> least.node").filter(_may_reach(F.col("n"), F.col("least.n"), least))
     links = checked(_ordered(star.select("node", F.col("least.node").alias("least")), "node", "least").unionAll(alike), "star")
-    several = stored(_open(members, stored(connected(links), "text-classes-star")), "members-open")
+    classes = stored(connected(links), "text-classes-star")
+    several = stored(_open(members, classes), "members-open")
     narrow = several.filter(F.col("size") <= WIDE)
     a, b = (narrow.select("key", F.col("root").alias(f"root_{c}"), F.col("node").alias(c), F.col("n").alias(f"n_{c}")) for c in "ab")
     across = a.join(b, "key").filter(F.col("root_a") < F.col("root_b")).filter(_may_reach(F.col("n_a"), F.col("n_b"), least))
-    links = links.unionAll(checked(_ordered(across.select("a", "b"), "a", "b"), "narrow"))
-    classes = stored(connected(links), "text-classes")
+    classes = stored(_joined(classes, checked(_ordered(across.select("a", "b"), "a", "b"), "narrow")), "text-classes")
 
     # Links within narrow bands have closed some of the wide ones.
     wide = _open(several.filter(F.col("size") > WIDE).select("key", "node", "n"), classes)
     wide = stored(wide.select("node", "n", "root").distinct(), "members-wide")
     if not wide.isEmpty():
         pairs = _across(stored(wide.join(needed, "node"), "texts-wide"), shingle, least)
-        classes = stored(connected(links.unionAll(checked(pairs, "wide"))), "text-groups")
+        classes = stored(_joined(classes, checked(pairs, "wide")), "text-groups")
     return known.select("node").join(classes, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
 
 
@@ -245,6 +245,11 @@ def _open(members: DataFrame, classes: DataFrame) -> DataFrame:
     return placed.join(keys.filter("low < high").select("key", "size"), "key")
 
 
+def _joined(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """The classes that further links make of ``classes(node, root)``: one link a node stands for all that were followed before."""
+    return connected(classes.select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(links))
+
+
 def _may_reach(n: Column, m: Column, least: float) -> Column:
     """A set has at least that share of the other's size, or the two can't share so much."""
     return F.least(n, m) >= F.lit(least) * F.greatest(n, m)

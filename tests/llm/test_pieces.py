@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 
@@ -84,3 +85,19 @@ def test_round_trip_is_what_decoding_gives(spark):
     decoded = {r.doc_id: r.decoded for r in pieces.decode(encoded, PATH).collect()}
     assert trips == {i: decoded[i] == (t or "") for i, t in enumerate(texts)}
     assert [trips[i] for i in range(len(texts))] == [False, False] + [True] * 6
+
+
+def test_a_worker_keeps_little_for_the_next_task(spark, library):
+    """Words that never come again: what a task remembered of them is gone when the next task begins in its process."""
+    words = [" ".join(f"{k}w{i:x}q{i * 7919 % 99991:x}" for i in range(80_000)) for k in range(4)]
+    docs = spark.createDataFrame(list(enumerate(words)), "doc_id long, text string").repartitionByRange(4, "doc_id")
+    for r in pieces.encode(docs, PATH).collect():
+        assert r.ids == library.encode(words[r.doc_id])
+
+    def held(batches):
+        own = pieces.load(PATH)
+        for batch in batches:
+            n = len(own.memo) + len(own.memo.last) + len(own.joins)
+            yield pa.RecordBatch.from_arrays([pa.array([n] * batch.num_rows, pa.int64())], ["n"])
+
+    assert max(r.n for r in spark.range(0, 8, 1, 8).mapInArrow(held, "n long").collect()) <= 1 << 16

@@ -107,6 +107,20 @@ def test_a_wide_band_is_compared_whole(spark, monkeypatch):
     assert kept == kept_by_brute_force(rows) and 30 < len(kept) < len(rows)
 
 
+def test_links_are_followed_once(spark, monkeypatch):
+    """Later classes begin with one link a text, not with all links that made the earlier ones."""
+    joined, checked, connected, check = [], [], similar.connected, similar._checked
+    monkeypatch.setattr(similar, "connected", lambda links: joined.append(links) or connected(links))
+    monkeypatch.setattr(similar, "_checked", lambda *a: checked.append(check(*a)) or checked[-1])
+    random.seed(4)
+    texts = [[f"w{random.randrange(3000)}" for _ in range(200)] for _ in range(2)] * 25
+    rows = [(i, " ".join(f"x{i}" if random.random() < 0.02 else w for w in words)) for i, words in enumerate(texts)]
+    similar.groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    star, narrow = checked[0].distinct().count(), checked[1].distinct().count()
+    nodes = joined[1].select("a").union(joined[1].select("b")).distinct().count()
+    assert nodes < star and joined[2].count() <= nodes + narrow
+
+
 def test_prefixes_of_similar_sets_meet():
     """Whatever the counts of the buckets, sets that share enough have a first shingle in common, and their places allow for it."""
     rng = np.random.default_rng(9)
